@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tesserae.llm import lookalike, survivor
+from tesserae.llm import garbled, lookalike, survivor
 from tesserae.tables import table
 
 
@@ -24,7 +24,15 @@ def p5_records(spark: SparkSession, d: str) -> DataFrame:
     return survivor.best_records(table(spark, d, "entities"), table(spark, d, "class_trust"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p5_found": p5_found, "p5_records": p5_records}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return garbled.garbled_documents(table(spark, d, "documents"))
+
+
+def p9_restored(spark: SparkSession, d: str) -> DataFrame:
+    return garbled.restore(table(spark, d, "documents"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p5_found": p5_found, "p5_records": p5_records, "p9_found": p9_found, "p9_restored": p9_restored}
 
 _ROWS = r"""
 rows AS (SELECT 'Q' || regexp_extract(translate(wikidata, '０１２３４５６７８９Ｑｑ', '0123456789Qq'), '(?:^|[^A-Za-z0-9])[Qq]0*([0-9]+)(?:$|[^0-9A-Za-z])', 1) AS qid, ent_id, modified_at,
