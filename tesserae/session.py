@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +39,21 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once an application."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        _shipped.add(app)
+        home = Path(__file__).resolve().parent
+        folder = tempfile.mkdtemp(prefix="tesserae-code-")  # on the driver only; Spark hands the file out
+        atexit.register(shutil.rmtree, folder, True)
+        shutil.copytree(home, f"{folder}/code/{home.name}", ignore=shutil.ignore_patterns("__pycache__"))
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/{home.name}", "zip", f"{folder}/code"))
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm
