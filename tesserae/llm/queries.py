@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tesserae.llm import garbled, lookalike, sentences, survivor
+from tesserae.llm import garbled, lookalike, markup, sentences, survivor
 from tesserae.tables import table
 
 
@@ -29,6 +29,14 @@ def p2_units(spark: SparkSession, d: str) -> DataFrame:
     return sentences.text_units(table(spark, d, "text"), table(spark, d, "page"), plain_only=False)
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return markup.markup_elements(table(spark, d, "text"), table(spark, d, "page"))
+
+
+def p3_clean(spark: SparkSession, d: str) -> DataFrame:
+    return markup.cleaned_texts(table(spark, d, "text"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return survivor.clear_winners(table(spark, d, "entities"), table(spark, d, "class_trust"))
 
@@ -45,7 +53,7 @@ def p9_restored(spark: SparkSession, d: str) -> DataFrame:
     return garbled.restore(table(spark, d, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p2_found": p2_found, "p2_units": p2_units, "p5_found": p5_found, "p5_records": p5_records, "p9_found": p9_found, "p9_restored": p9_restored}
+QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p2_found": p2_found, "p2_units": p2_units, "p3_found": p3_found, "p3_clean": p3_clean, "p5_found": p5_found, "p5_records": p5_records, "p9_found": p9_found, "p9_restored": p9_restored}
 
 _ROWS = r"""
 rows AS (SELECT 'Q' || regexp_extract(translate(wikidata, '０１２３４５６７８９Ｑｑ', '0123456789Qq'), '(?:^|[^A-Za-z0-9])[Qq]0*([0-9]+)(?:$|[^0-9A-Za-z])', 1) AS qid, ent_id, modified_at,
