@@ -26,7 +26,8 @@ MATH_ENVIRONMENTS = "equation|align|gather|multline|eqnarray|displaymath|math|fl
 CODE_TAGS = "source|syntaxhighlight"
 TAGS = "a|abbr|b|big|blockquote|body|br|caption|center|cite|code|col|colgroup|dd|del|dfn|div|dl|dt|em|font|footer|gallery|h[1-6]|head|header|hr|html|i|imagemap|img|includeonly|ins|kbd|li|link|main|mark|math|meta|nav|noinclude|nowiki|ol|onlyinclude|p|poem|pre|q|ref|references|s|samp|script|section|small|source|span|strike|strong|style|sub|sup|syntaxhighlight|table|tbody|td|tfoot|th|thead|timeline|title|tr|tt|u|ul|var|wbr"
 
-CODE, MATH, LITERAL = "\ue001", "\ue002", "\ue003"
+CODE, MATH, LITERAL, END = "\ue001", "\ue002", "\ue003", "\ue004"
+HELD = re.compile(f"([{CODE}{MATH}{LITERAL}])(\\d+){END}")
 
 SHIELD = re.compile(
     rf"""(?P<none><!--.*?(?:-->|\Z)|<(?P<hid>script|style)\b[^>]*>.*?(?:</(?P=hid)\s*>|\Z))
@@ -108,61 +109,61 @@ def _titled(line: str) -> bool:
     return len(t) <= 48 and not SENTENCE_END.search(t) and not (re.search(r"\p{Thai}", t) and len(t) > 26)
 
 
-def parse(text: str) -> tuple[list[tuple[str, str]], bool, str]:
-    """Elements (kind, text) in reading order, whether there is any markup, and the masked text."""
-    shielded: list[tuple[str, str]] = []
+def parse(text: str) -> tuple[list[tuple[str, str]], bool, str, list[str]]:
+    """Elements (kind, text) in reading order, whether there is any markup, and the text in one markup.
+
+    In that text headings begin with `# ` and items with `- `, on lines of
+    their own; what is shown literally stands in the list at the end, and a
+    mark with its number holds its place.
+    """
+    held: list[str] = []
+    gone = False
 
     def shield(m: re.Match) -> str:
-        if m["code"] is not None:
-            shielded.append(("code_block", m[0]))
-            return CODE
-        if m["math"] is not None:
-            shielded.append(("formula", m[0]))
-            return MATH
-        if m["literal"] is not None or m["inline"] is not None:
-            shielded.append(("", m[0]))
-            return LITERAL
-        shielded.append(("none", m[0]))
-        return ""
+        nonlocal gone
+        if m["none"] is not None or m["remark"] is not None:
+            gone = True
+            return ""
+        mark = CODE if m["code"] is not None else MATH if m["math"] is not None else LITERAL
+        held.append(m[0])
+        return f"{mark}{len(held) - 1}{END}"
 
     text = text.replace("\r\n", "\n").replace("\r", "\n")
-    for mark in (CODE, MATH, LITERAL):
+    for mark in (CODE, MATH, LITERAL, END):
         text = text.replace(mark, " ")
     masked = SHIELD.sub(shield, text)
-    hold = iter([s for s in shielded if s[0] != "none"])
     found: list[tuple[str, str]] = []
     out: list[str] = []
     lines = masked.split("\n")
     numbers: dict[int, int] = {}
     block: list[str] | None = None
-    line_marks = False
-    i = 0
-    while i < len(lines):
-        line = lines[i]
+    indented = re.compile(r"(?: {4}|\t)\s*\S")
+
+    def close() -> None:
+        nonlocal block
+        if block is not None:
+            whole = HELD.sub(lambda m: held[int(m[2])], "\n".join(block))
+            found.append(("code_block", whole))
+            held.append(whole)
+            out.append(f"{CODE}{len(held) - 1}{END}")
+            block = None
+
+    for i, line in enumerate(lines):
         before = lines[i - 1] if i else ""
         bare = line.strip()
-        if re.match(r"(?: {4}|\t)\s*\S", line) and (not before.strip() or block is not None):
+        if indented.match(line) and (not before.strip() or block is not None):
             block = [*(block or []), line]
-            for c in line:
-                if c in (CODE, MATH, LITERAL):
-                    next(hold)
-            i += 1
             continue
-        if block is not None and not bare and any(re.match(r"(?: {4}|\t)\s*\S", x) for x in lines[i + 1 : i + 2]):
-            i += 1
+        if block is not None and not bare and i + 1 < len(lines) and indented.match(lines[i + 1]):
             continue
-        if block is not None:
-            found.append(("code_block", "\n".join(block)))
-            out.append("\n".join(block))
-            block = None
-        inner = bare
-        kind = None
+        close()
+        kind, inner = None, line
         if not bare:
             pass
         elif m := WIKI_HEADING.match(line):
             kind, inner = "heading", m["t"]
         elif i + 1 < len(lines) and UNDERLINE.match(lines[i + 1]) and not UNDERLINE.match(line) and not MARKDOWN_ITEM.match(line) and not WIKI_ITEM.match(line) and not before.strip() and len(bare) <= 120:
-            kind = "heading"
+            kind, inner = "heading", bare
             lines[i + 1] = ""
         elif ATX.match(line) and _titled(line):
             kind, inner = "heading", ATX.match(line)["t"]
@@ -171,57 +172,63 @@ def parse(text: str) -> tuple[list[tuple[str, str]], bool, str]:
         if kind != "list_item" and bare and not line.startswith((" ", "\t")):
             numbers.clear()
         if kind:
-            line_marks = True
             found.append((kind, inner))
         # elements within the line, in the order of their places
         inline = [(m.start(), "heading", m["t"]) for r in (HTML_HEADING, TEX_HEADING) for m in r.finditer(line)]
         inline += [(m.start(), "list_item", line[m.end() :]) for r in (HTML_ITEM, TEX_ITEM) for m in r.finditer(line)]
-        inline += [(m.start(), m[0], "") for m in re.finditer(f"[{CODE}{MATH}{LITERAL}]", line)]
-        shown = inner
-        for _, k, t in sorted(inline):
-            if k in (CODE, MATH, LITERAL):
-                k, t = next(hold)
-                shown = shown.replace({"code_block": CODE, "formula": MATH}.get(k, LITERAL), t if k else html.unescape(re.sub(r"</?[a-z]+[^>]*>|^`+|`+$", "", t)), 1)
-                if not k:
-                    continue
-            found.append((k, t))
-        out.append({"heading": "# ", "list_item": "- "}.get(kind, "") + shown)
-        i += 1
-    if block is not None:
-        found.append(("code_block", "\n".join(block)))
-        out.append("\n".join(block))
-    marked = bool(found) or bool(shielded) or line_marks or bool(ANY.search(masked)) or any(RULE.match(x) for x in lines)
-    return found, marked, "\n".join(out)
-
-
-def strip(text: str) -> str:
-    """A line without its markup; headings and items keep the sign that parse gave them."""
-    t = re.sub(r"\[\[(?:Datei|Bild|Fichier|File|Image|Archivo|Файл|Αρχείο|Kategorie|Category|Catégorie|Categoría|Категория):[^\[\]]*(?:\[\[[^\[\]]*\]\][^\[\]]*)*\]\]", "", text, flags=re.I)
-    t = re.sub(r"<ref\b[^>]*/>|<ref\b[^>]*>.*?</ref\s*>", "", t, flags=re.S | re.I)
+        inline += [(m.start(), {CODE: "code_block", MATH: "formula"}.get(m[1], ""), held[int(m[2])]) for m in HELD.finditer(line)]
+        found += [(k, t) for _, k, t in sorted(inline) if k]
+        for r in (HTML_HEADING, TEX_HEADING):
+            inner = r.sub(lambda m: f"\n# {m['t']}\n", inner)
+        for r in (HTML_ITEM, TEX_ITEM):
+            inner = r.sub("\n- ", inner)
+        out.append({"heading": "# ", "list_item": "- "}.get(kind, "") + inner)
+    close()
+    marked = gone or bool(found) or bool(held) or bool(ANY.search(masked)) or any(RULE.match(x) for x in lines)
+    return found, marked, "\n".join(out), held
+
+
+def strip(t: str) -> str:
+    """A text in the form that parse gives, without markup of words and without tables and templates."""
     for _ in range(8):
-        new = re.sub(r"\{\{[^{}]*\}\}", "", t)
+        new = re.sub(r"\{\{[^{}]*\}\}|\{\|(?:(?!\{\|).)*?^[ \t]*\|\}", "", t, flags=re.S | re.M)
         if new == t:
             break
         t = new
+    t = re.sub(r"\[\[(?:Datei|Bild|Fichier|File|Image|Archivo|Файл|Αρχείο|Kategorie|Category|Catégorie|Categoría|Категория):[^\[\]]*(?:\[\[[^\[\]]*\]\][^\[\]]*)*\]\]", "", t, flags=re.I)
+    t = re.sub(r"<ref\b[^>]*/>|<ref\b[^>]*>.*?</ref\s*>|<gallery\b[^>]*>.*?</gallery\s*>", "", t, flags=re.S | re.I)
     t = re.sub(r"\[\[(?:[^|\[\]]*\|)?([^|\[\]]*)\]\]", r"\1", t)
-    t = re.sub(r"\[(?:https?:)?//\S+\s*([^\]]*)\]", r"\1", t)
+    t = re.sub(r"\[(?:https?:)?//[^\s\]]+[ \t]*([^\]\n]*)\]", r"\1", t)
     t = re.sub(r"!\[[^\[\]\n]*\]\([^)\s]*\)", "", t)
     t = re.sub(r"\[([^\[\]\n]*)\]\([^()\s]*(?:\([^()\s]*\))?[^()\s]*\)", r"\1", t)
+    t = re.sub(r"<br\s*/?>", " ", t, flags=re.I)
     t = re.sub(rf"</?(?:{TAGS})(?:\s[^<>]*|/)?\s*/?>", "", t, flags=re.I)
     t = re.sub(r"'{2,5}|__[A-Z]{3,}__", "", t)
     t = re.sub(r"(?<![\w*\\])(\*{1,3})(?=[^\s*])([^*\n]*?)(?<=[^\s*(])\1(?![\w*])", r"\2", t)
-    t = re.sub(r"\\(?:includegraphics|label|ref|cite|pageref|documentclass|usepackage|begin|end|newpage|clearpage|vspace|hspace)\*?(?:\[[^\]]*\])*(?:\{[^{}]*\})*", "", t)
+    t = re.sub(r"~~([^\s~][^~\n]*)~~", r"\1", t)
+    t = re.sub(r"\\begin\{tabular\}.*?\\end\{tabular\}", "", t, flags=re.S)
+    t = re.sub(r"\\(?:includegraphics|label|ref|cite|pageref|documentclass|usepackage|begin|end|newpage|clearpage|vspace|hspace)(?![a-zA-Z])\*?(?:\[[^\]]*\])*(?:\{[^{}]*\})*", "", t)
     t = re.sub(r"\\href\{[^{}]*\}\{([^{}]*)\}", r"\1", t)
     for _ in range(4):
         new = re.sub(r"(?<![\w\\:])\\[a-zA-Z]+\*?(?:\[[^\]]*\])?\{([^{}]*)\}|\{\\[a-z]+\s+([^{}]*)\}", lambda m: m[1] or m[2] or "", t)
         if new == t:
             break
         t = new
-    t = re.sub(r"(?<![\w\\:])\\item(?![a-zA-Z])\s*", "- ", t)
-    t = re.sub(r"^\s*(?:\{\||\|\}|\|-+|!).*$|\\\\[ \t]*$", "", t)
-    t = re.sub(r"\\([%&_#$])", r"\1", t)
-    t = html.unescape(t)
-    return re.sub(r"[ \t]+", " ", t).strip() if not text.startswith(("    ", "\t")) else t
+    t = re.sub(r"^[ ]{0,3}>[ \t]?|^[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*\|.*$|^[ ]{0,3}(?:(?:[*][ \t]*){3,}|(?:-[ \t]*){3,}|(?:_[ \t]*){3,})$|^:+(?=\s*\ue002)", "", t, flags=re.M)
+    t = re.sub(r"\\\\[ \t]*$|\\([%&_#$])", r"\1", t, flags=re.M)
+    t = re.sub(r"[ \t\u00a0]+", " ", html.unescape(t))
+    return re.sub(r"^ | $", "", t, flags=re.M)
+
+
+def _shown(mark: str, raw: str) -> str:
+    """Code fenced, formulas between dollars, and other literal text bare."""
+    if mark == MATH:
+        inner = re.sub(rf"^(?:<math\b[^>]*>|\$\$?|\\[\[(]|\\begin\{{\w+\*?\}})\s*|\s*(?:</math\s*>|\$\$?|\\[\])]|\\end\{{\w+\*?\}})$", "", raw, flags=re.I)
+        return f"${inner.strip()}$"
+    if mark == CODE:
+        inner = re.sub(rf"^(?:(?:<(?:pre|code|{CODE_TAGS})\b[^>]*>)+|[ ]*(?:`{{3,}}|~{{3,}})[^\n]*\n|\\begin\{{\w+\*?\}}(?:\[[^\]]*\])?)|(?:(?:</(?:pre|code|{CODE_TAGS})\s*>)+|\n?[ ]*(?:`{{3,}}|~{{3,}})[ \t]*|\\end\{{\w+\*?\}})$", "", raw, flags=re.I)
+        return "\n```\n" + (html.unescape(inner) if raw.lstrip().startswith("<") else inner).strip("\n") + "\n```\n"
+    return html.unescape(re.sub(r"^<[a-z]+\b[^>]*>|</[a-z]+\s*>$|^`+|`+$|^\\(?:verb|lstinline)\*?.|[|!+@]$", "", raw, flags=re.I))
 
 
 def clean(text: str, window: int = 3, least: int = 30) -> tuple[list[tuple[str, str]], bool, str]:
@@ -229,29 +236,26 @@ def clean(text: str, window: int = 3, least: int = 30) -> tuple[list[tuple[str,
 
     A block opens where the sum of bare line lengths over `window` lines
     surges above `least` and closes where it dives to nothing; texts that
-    never surge are kept whole.
+    never surge are kept whole, and so are elements wherever they stand.
     """
-    found, marked, shown = parse(text)
-    lines = []
-    for raw in shown.split("\n"):
-        lines.append(raw if raw.startswith(("    ", "\t")) or "\n" in raw else strip(raw))
+    found, marked, shown, held = parse(text)
+    lines = strip(shown).split("\n")
     sizes = [len(x.strip()) for x in lines]
     sums = [sum(sizes[i : i + window]) for i in range(len(sizes))]
-    keep = [x.startswith(("# ", "- ", "    ", "\t", "```")) for x in lines]
+    keep = [x.startswith(("# ", "- ")) or bool(HELD.search(x)) for x in lines]
     i, opened = 0, False
     while i < len(sums):
         if sums[i] > least:  # surge
             opened = True
-            j = i
-            while j < len(sums) and sums[j] > 0:  # until the dive
-                j += 1
-            keep[i:j] = [True] * (j - i)
-            i = j
+            while i < len(sums) and sums[i] > 0:  # until the dive
+                keep[i] = True
+                i += 1
         else:
             i += 1
     if not opened:
         keep = [True] * len(lines)
     body = "\n".join(x for x, k in zip(lines, keep) if k or not x)
+    body = HELD.sub(lambda m: _shown(m[1], held[int(m[2])]), body)
     return found, marked, re.sub(r"\n{3,}", "\n\n", body).strip()
 
 
@@ -263,7 +267,7 @@ def _elements(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for part in parts:
         rows = []
         for page, text in zip(part["page_id"], part["text"]):
-            found, marked, _ = parse(text)
+            found, marked, _, _ = parse(text)
             if marked:
                 rows.append((page, "any", 0))
             count = dict.fromkeys(KINDS, 0)
