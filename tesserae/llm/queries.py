@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tesserae.llm import garbled, lookalike, markup, sentences, survivor
+from tesserae.llm import garbled, lookalike, markup, mixing, packing, sentences, survivor, tokens
 from tesserae.tables import table
 
 
@@ -45,6 +45,30 @@ def p5_records(spark: SparkSession, d: str) -> DataFrame:
     return survivor.best_records(table(spark, d, "entities"), table(spark, d, "class_trust"))
 
 
+def _packed(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(tokens.with_tokens(table(spark, d, "documents"), ["doc_id"]).select("doc_id", "tokens"), table(spark, d, "container_spec"))
+
+
+def p7_containers(spark: SparkSession, d: str) -> DataFrame:
+    return _packed(spark, d)
+
+
+def p7_fill(spark: SparkSession, d: str) -> DataFrame:
+    return packing.fill_report(_packed(spark, d), table(spark, d, "container_spec"))
+
+
+def _mixed(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.select(tokens.with_tokens(table(spark, d, "documents"), ["doc_id", "source"]), table(spark, d, "mix_target"))
+
+
+def p8_selection(spark: SparkSession, d: str) -> DataFrame:
+    return _mixed(spark, d)
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.shares(_mixed(spark, d), table(spark, d, "mix_target"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return garbled.garbled_documents(table(spark, d, "documents"))
 
@@ -53,7 +77,7 @@ def p9_restored(spark: SparkSession, d: str) -> DataFrame:
     return garbled.restore(table(spark, d, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p2_found": p2_found, "p2_units": p2_units, "p3_found": p3_found, "p3_clean": p3_clean, "p5_found": p5_found, "p5_records": p5_records, "p9_found": p9_found, "p9_restored": p9_restored}
+QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p2_found": p2_found, "p2_units": p2_units, "p3_found": p3_found, "p3_clean": p3_clean, "p5_found": p5_found, "p5_records": p5_records, "p7_containers": p7_containers, "p7_fill": p7_fill, "p8_selection": p8_selection, "p8_shares": p8_shares, "p9_found": p9_found, "p9_restored": p9_restored}
 
 _ROWS = r"""
 rows AS (SELECT 'Q' || regexp_extract(translate(wikidata, '０１２３４５６７８９Ｑｑ', '0123456789Qq'), '(?:^|[^A-Za-z0-9])[Qq]0*([0-9]+)(?:$|[^0-9A-Za-z])', 1) AS qid, ent_id, modified_at,
