@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tesserae.plans import problems
+from tesserae.plans import problems, reference, reference_sql
 
-QUERIES = {**problems.QUERIES}
-SQL = {**problems.SQL}
+QUERIES = {**reference.QUERIES, **problems.QUERIES}
+SQL = {**reference_sql.SQL, **problems.SQL}
