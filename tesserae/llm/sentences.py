@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import regex as re
@@ -111,24 +112,22 @@ LATIN = ("de", "en", "fr", "es")
 VIEW = 48
 
 
-def _cascade(last: str, lang: str | None, gap: str) -> tuple[str, ...]:
+SCRIPTS = [(re.compile(rf"[{EAST}]"), ("east", "any")), (re.compile(r"\p{Cyrillic}"), ("ru", "any")), (re.compile(r"\p{Greek}"), ("greek", "el", "any")), (re.compile(r"\p{Devanagari}"), ("indic", "hi", "any")), (re.compile(r"\p{Arabic}"), ("arabic", "ar", "any")), (re.compile(r"\p{Thai}"), ("thai", "any"))]
+
+
+@lru_cache(maxsize=20_000)
+def _cascade(last: str, lang: str | None) -> tuple[str, ...]:
     """The tables for a place, by the last letter before it and the language of the text."""
-    if re.match(rf"[{EAST}]", last):
-        return ("east", "any")
-    if re.match(r"\p{Cyrillic}", last):
-        return ("ru", "any")
-    if re.match(r"\p{Greek}", last):
-        return ("greek", "el", "any")
-    if re.match(r"\p{Devanagari}", last):
-        return ("indic", "hi", "any")
-    if re.match(r"\p{Arabic}", last):
-        return ("arabic", "ar", "any")
-    if re.match(r"\p{Thai}", last):
-        return ("thai", "any")
+    for script, tables in SCRIPTS:
+        if script.match(last):
+            return tables
     first = (lang,) if lang in LATIN else ()
     return (*first, *(x for x in LATIN if x != lang), "any")
 
 
+EAST_NEXT = re.compile(rf"[{EAST}「『]")
+
+
 def _decide(before: str, after: str, last: str, lang: str | None, at_end: str) -> bool:
     if at_end in "。！？｡．":
         tables: tuple[str, ...] = ("east", "any")
@@ -139,8 +138,8 @@ def _decide(before: str, after: str, last: str, lang: str | None, at_end: str) -
     elif at_end in ";;":
         tables = ("greek",)
     else:
-        tables = _cascade(last, lang, "")
-        if re.match(rf"[{EAST}「『]", after) and tables[0] not in ("east", "thai"):
+        tables = _cascade(last, lang)
+        if EAST_NEXT.match(after) and tables[0] not in ("east", "thai"):
             tables = ("east", *tables)
     for name in tables:
         for breaks, b, a in COMPILED[name]:
@@ -149,41 +148,45 @@ def _decide(before: str, after: str, last: str, lang: str | None, at_end: str) -
     return STAY
 
 
-LETTER = re.compile(r"\p{L}|\p{M}")
-TITLE_END = re.compile(rf"[.!?…。！？।؟;:,{CLOSE}]\s*$")
+HEAD = re.compile(r"\s*")
+LAST_LETTER = re.compile(r"[\p{L}\p{M}](?=[^\p{L}\p{M}]*$)")
+BLANK_LINE = re.compile(r"\n[ \t\r\u00a0]*\n")
+BLANKS = re.compile(r"\s+")
+INNER = re.compile(rf"[{EAST}「『“\p{{Thai}}]")
 
 
 def boundaries(text: str, lang: str | None = None, title: str | None = None) -> list[int]:
     """Offsets, in code points, of the first character of each unit that is not blank."""
-    head = re.match(r"\s*", text).end()
+    head = HEAD.match(text).end()
     if head == len(text):
         return []
     starts, begin = [head], head
     if title:  # a first line that is the title, and no more, is a unit though no blank line follows
         line = text[head:].split("\n", 1)
         if len(line) == 2 and line[0].strip() == title.replace("_", " ").strip() and line[1].strip():
-            starts.append(head + len(line[0]) + 1 + re.match(r"\s*", line[1]).end())
+            starts.append(head + len(line[0]) + 1 + HEAD.match(line[1]).end())
             begin = starts[-1]
     for m in PLACE.finditer(text, begin):
         at = m.end()
-        if at >= len(text) or not text[at:].strip():
+        if at >= len(text):
             break
         if at <= begin:
             continue
-        if m["para"] is not None or (m["gap"] and re.search(r"\n[ \t\r ]*\n", m["gap"])):
+        if m["para"] is not None or (m["gap"] and BLANK_LINE.search(m["gap"])):
             starts.append(at)
             begin = at
             continue
         gap = m["gap"] if m["gap"] is not None else (m["thai"] or "")
         stop = m.group(0)[: len(m.group(0)) - len(gap)]
         after = text[at : at + VIEW] if m["thai"] is None else text[at : at + 4 * VIEW]
-        before = re.sub(r"\s+", " ", text[max(begin, m.start() - VIEW) : m.start()]) + stop
+        before = BLANKS.sub(" ", text[max(begin, m.start() - VIEW) : m.start()]) + stop
         if max(begin, m.start() - VIEW) > begin:
             before = "\x00" + before  # not the unit's head
         end = stop[0] if stop else ""
-        if not gap and end in ".!?…;;" and not re.match(rf"[{EAST}「『“\p{{Thai}}]", after):
+        if not gap and end in ".!?…;;" and not INNER.match(after):
             continue  # inside a word or an address
-        last = next((c for c in reversed(before) if LETTER.match(c)), "")
+        letter = LAST_LETTER.search(before)
+        last = letter[0] if letter else ""
         if _decide(before, after, last, lang, end or " "):
             starts.append(at)
             begin = at
@@ -195,27 +198,33 @@ NO_BLANK_AFTER = re.compile(r"^[„«‹¿¡(\[「『（‚£$§]$")
 JOINED = re.compile(rf"[{EAST}\p{{Thai}}、。！？，「」『』（）・…]")
 
 
+@lru_cache(maxsize=50_000)
+def _shape(token: str) -> tuple[bool, bool, bool, bool]:
+    """Whether no blank goes before and after a token, and whether its ends are of writings without blanks."""
+    return bool(NO_BLANK_BEFORE.match(token)), bool(NO_BLANK_AFTER.match(token)), bool(JOINED.match(token[0])), bool(JOINED.match(token[-1]))
+
+
 def joined(tokens: list[str]) -> tuple[str, list[int]]:
     """The text that tokens were cut from, as far as it matters, and each token's offset."""
     parts, at, offsets, quote = [], 0, [], 0
-    last = ""
+    last: tuple[bool, bool, bool, bool] | None = None
     for t in tokens:
         if t in ("_", ""):
             offsets.append(at)
             parts.append(" ")
             at += 1
-            last = ""
+            last = None
             continue
-        closing = t in "“" and quote > 0
-        quote += (t.count("„") - (1 if closing else 0)) if t else 0
-        glue = not last or NO_BLANK_BEFORE.match(t) or closing or NO_BLANK_AFTER.match(last) or (JOINED.match(last[-1]) and JOINED.match(t[0]) and not re.match(r"[…]", t)) or (last == "..." and NO_BLANK_BEFORE.match(t))
-        if last and not glue:
+        shape = _shape(t)
+        closing = t == "“" and quote > 0
+        quote += t.count("„") - closing
+        if last and not (shape[0] or closing or last[1] or (last[3] and shape[2])):
             parts.append(" ")
             at += 1
         offsets.append(at)
         parts.append(t)
         at += len(t)
-        last = t
+        last = shape
     return "".join(parts), offsets
 
 
