@@ -40,7 +40,8 @@ def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 2000) -> np.ndarray:
         free[j] = True
         while True:
             at = np.flatnonzero(free)
-            s = np.linalg.lstsq(gram[np.ix_(at, at)], target[at], rcond=1e-12)[0]
+            own = gram[np.ix_(at, at)]
+            s = np.linalg.solve(own + 1e-9 * np.eye(len(at)), target[at])
             if (s > 0).all():
                 x[:] = 0
                 x[at] = s
