@@ -17,6 +17,7 @@ def apriori(entities: DataFrame, links: DataFrame) -> DataFrame:
     One aggregate of the links, so the join meets one row a target. With no
     links at all the share is undefined, and null.
     """
+    entities = entities.drop("n_links", "proba")
     counts = links.groupBy(F.col("target").alias("page_title")).agg(F.count(F.lit(1)).alias("n_links"))
     total = links.agg(F.count(F.lit(1)).alias("n")).collect()[0]["n"]
     n = F.coalesce("n_links", F.lit(0))

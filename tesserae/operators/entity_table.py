@@ -23,6 +23,7 @@ def type_sets(rows: DataFrame, works: DataFrame) -> DataFrame:
     First is by the order of the extracts within the type, then by row_ord.
     """
     orders = F.create_map(*[x for name, t, c in consumed() for x in (F.lit(name), F.struct(F.lit(t).alias("type_ord"), F.lit(c).alias("class_ord")))])
+    rows = rows.select("wikidata", *VALUES, "src_class", "row_ord")
     placed = rows.withColumn("_o", orders[F.col("src_class")]).where("_o is not null").select("*", "_o.type_ord", "_o.class_ord").drop("_o")
     kept = first_by(placed, ["type_ord", "wikidata"], ["class_ord", "row_ord"])
     return kept.join(works.select("wikidata").where("wikidata is not null").distinct(), "wikidata", "left_anti").where("wikidata is not null")

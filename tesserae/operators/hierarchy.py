@@ -188,7 +188,7 @@ def hierarchy(nodes: DataFrame, most: int = 200_000, together: int = 20_000) ->
     cycle and all below it. Repeated rows count once, of several parents the
     smallest counts; null nodes are dropped; an empty table gives no rows.
     """
-    own = nodes.where("node is not null").groupBy("node").agg(F.min("parent").alias("parent"))
+    own = nodes.select("node", "parent").where("node is not null").groupBy("node").agg(F.min("parent").alias("parent"))
     own = materialize(own, "nodes")
     known = own.select(F.col("node").alias("parent"), F.lit(True).alias("known"))
     own = skew_lookup(own, known, ["parent"], "left").select("node", F.when(F.col("known"), F.col("parent")).alias("parent"))

@@ -21,6 +21,7 @@ def find_orphans(refs: DataFrame, parents: DataFrame, max_hot: int = 256, salts:
     repeated references give one row per month and kind; empty inputs give no
     rows; a null ref_ts is never late and has the month null.
     """
+    refs = refs.select("ref_table", "ref_field", "ref_id", "ref_value", "space", "key", "ref_ts")
     tagged = refs.where("key is not null").select("space", "key").groupBy("space", "key").agg(F.lit(False).alias("is_parent"), F.lit(None).cast("boolean").alias("live"), F.lit(None).cast(parents.schema["first_ts"].dataType).alias("first_ts"))
     owners = parents.where("key is not null").groupBy("space", "key").agg(F.lit(True).alias("is_parent"), F.max("live").alias("live"), F.coalesce(F.min(F.when(F.col("live"), F.col("first_ts"))), F.min("first_ts")).alias("first_ts"))
     verdicts = tagged.unionByName(owners).groupBy("space", "key").agg(F.max("is_parent").alias("has_parent"), F.max("live").alias("live"), F.min("first_ts").alias("first_ts"), F.min("is_parent").alias("all_parent")).where("not all_parent").drop("all_parent")
