@@ -76,7 +76,8 @@ def _item(line: str, before: str, numbers: dict[int, int]) -> str | None:
     """The text of a list item, if the line is one; before is the line above it."""
     tail = before.strip()
     # a line that goes on in the middle of a sentence is prose, whatever sign it starts with
-    goes_on = bool(tail) and not SENTENCE_END.search(tail) and not WIKI_ITEM.match(before) and not MARKDOWN_ITEM.match(before)
+    closed = not tail or tail[-1] in ">}]" + END or SENTENCE_END.search(tail) or WIKI_HEADING.match(before) or ATX.match(before)
+    goes_on = not closed and not WIKI_ITEM.match(before) and not MARKDOWN_ITEM.match(before)
     if (m := WIKI_ITEM.match(line)) and not EMPHASIS.match(line) and not RULE.match(line):
         if goes_on and re.match(r"[\p{Ll}\d=]", m["t"]):
             return None
