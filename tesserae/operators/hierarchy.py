@@ -213,7 +213,7 @@ def category_nodes(page: DataFrame, categorylinks: DataFrame) -> DataFrame:
     ids = cats.select(F.col("page_id").alias("node")).distinct()
     by_title = cats.where("key is not null").groupBy("key").agg(F.min("page_id").alias("parent"))
     links = categorylinks.where("cl_from is not null and cl_to is not null").select(F.col("cl_from").alias("node"), title_key(F.col("cl_to"), category=True).alias("key"))
-    child = links.join(ids, "node", "left_semi").where("key is not null").distinct()
+    child = materialize(links.join(ids, "node", "left_semi").where("key is not null").distinct(), "children")
     linked = skew_lookup(child, by_title, ["key"], "inner").groupBy("node").agg(F.min("parent").alias("parent"))
     return ids.join(linked, "node", "left")
 

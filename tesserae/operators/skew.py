@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 
 def skew_lookup(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", max_hot: int = 256, salts: int = 32, least: int = 20_000) -> DataFrame:
@@ -14,12 +14,10 @@ def skew_lookup(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     rows of right are repeated per salt. Null keys never match and are not
     shuffled to one place either: they get a random-looking salt of the row.
     """
-    counted = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = left.count()
-    bound = max(least, total // max_hot)
-    if total <= bound:
-        return left.join(right, keys, how)
-    hot = [r for r in counted.where(F.col("_n") > bound).limit(max_hot + 1).collect()]
+    seen = Observation()
+    counted = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).observe(seen, F.sum("_n").alias("total"))
+    top = counted.where(F.col("_n") > least).orderBy(F.desc("_n")).limit(max_hot).collect()  # one pass gives the total as well
+    hot = [r for r in top if r["_n"] > seen.get["total"] // max_hot] if top else []
     if not hot:
         return left.join(right, keys, how)
     schema = left.select(*keys).schema
