@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tesserae.llm import garbled, lookalike, markup, mixing, packing, sentences, survivor, tokens
@@ -89,7 +92,40 @@ rows AS (SELECT 'Q' || regexp_extract(translate(wikidata, '０１２３４５６
 item AS (SELECT qid, count(*) AS n, bool_or(b) AS b, bool_or(i) AS i, bool_or(c) AS c FROM rows WHERE qid <> 'Q' GROUP BY qid)
 """
 
+
+
+def _plain_sql(value: str) -> str:
+    """The one form in DuckDB: characters replaced one by one, then composed; made from the Unicode database by rule."""
+    quoted = lambda t: "'" + t.replace("'", "''") + "'"
+    old, new, gone, long = "", "", "", {}
+    for cp in range(0x80, sys.maxunicode + 1):
+        ch = chr(cp)
+        if 0xD800 <= cp <= 0xDFFF or 0x3400 <= cp <= 0x9FFF or cp > 0x2FA1F or unicodedata.category(ch) == "Cn":
+            continue
+        kind = unicodedata.decomposition(ch).split(" ")[0]
+        to = unicodedata.normalize("NFKD", ch) if kind in lookalike.SAME_LOOK else lookalike.ALIKE.get(ch, ch)
+        if unicodedata.category(ch) in ("Cf", "Cc") or ch in lookalike.SHAPELESS or 0xFE00 <= cp <= 0xFE0F:
+            gone += ch
+        elif unicodedata.category(ch) in ("Zs", "Zl", "Zp"):
+            old, new = old + ch, new + "_"
+        elif len(to) == 1 and to != ch:
+            old, new = old + ch, new + lookalike.ALIKE.get(to, to)
+        elif 1 < len(to) < 6 and to.isascii() and not to.startswith(" "):
+            long[ch] = to
+    for ch, to in long.items():
+        value = f"replace({value}, {quoted(ch)}, {quoted(to)})" if 0x2160 <= ord(ch) <= 0x217F or 0xFB00 <= ord(ch) <= 0xFB06 else value
+    return f"nfc_normalize(translate(replace({value}, ' ', '_'), {quoted(old + gone)}, {quoted(new)}))"
+
+
+_VALUES = f"""
+vals AS (SELECT 'page_title' AS field_name, ent_id, '' AS site, page_title AS value FROM entities WHERE page_title IS NOT NULL
+  UNION ALL SELECT 'sitelink', ent_id, sitelink[1:strpos(sitelink, '/wiki/') - 1], url_decode(sitelink[strpos(sitelink, '/wiki/') + 6:]) FROM entities WHERE strpos(sitelink, '/wiki/') > 0),
+forms AS (SELECT *, {_plain_sql('value')} AS form FROM vals)
+"""
+
 SQL = {
+    "p1_found": f"WITH {_VALUES} SELECT DISTINCT a.field_name, a.ent_id AS ent_a, b.ent_id AS ent_b FROM forms a JOIN forms b USING (field_name, site, form) WHERE a.ent_id < b.ent_id AND a.value <> b.value AND form <> ''",
+    "p1_forms": f"WITH {_VALUES} SELECT field_name, ent_id, site, value, form FROM forms",
     "p5_found": f"""WITH {_ROWS}
 SELECT r.qid, r.ent_id FROM rows r JOIN item t USING (qid)
 WHERE t.n >= 2 AND (t.b OR t.i OR t.c) AND r.b = t.b AND r.i = t.i AND r.c = t.c
