@@ -19,7 +19,7 @@ def _hop(active: DataFrame, step: DataFrame) -> DataFrame:
 
 
 def components(nodes: DataFrame) -> DataFrame:
-    """node, parent, comp for nodes(node, parent), in which parents are nodes or null.
+    """node, parent, comp, on_ring for nodes(node, parent), in which parents are nodes or null.
 
     Pointer doubling, one join a round and as many rounds as the logarithm of
     the depth. comp is the root of a tree; else the smallest node of the cycle.
@@ -27,7 +27,7 @@ def components(nodes: DataFrame) -> DataFrame:
     cycles: trees of a greater depth hold nodes of every lesser one.
     """
     state = nodes.select("node", F.coalesce("parent", "node").alias("ptr"), F.col("parent").isNull().alias("done"))
-    done, active, left = [state.where("done").select("node", F.col("ptr").alias("comp"))], None, -1
+    left = -1
     state = materialize(state, "doubling")
     while True:
         step = state.select(F.col("node").alias("ptr"), F.col("ptr").alias("next"), F.col("done").alias("end"))
@@ -41,7 +41,7 @@ def components(nodes: DataFrame) -> DataFrame:
         state = state_next
         if left == before:
             break
-    trees = state.where("done").select("node", F.col("ptr").alias("comp"))
+    trees = state.where("done").select("node", F.col("ptr").alias("comp"), F.lit(False).alias("on_ring"))
     if not before or not left:
         return nodes.join(trees, "node")
     # Only cycles and what hangs below them: f^m's image stops shrinking once it is the cycles' nodes.
@@ -63,12 +63,14 @@ def components(nodes: DataFrame) -> DataFrame:
         if not new.where("changed").count():
             break
         ring = new.drop("changed")
-    entry = loops.join(new.select(F.col("node").alias("ptr"), F.col("least").alias("comp")), "ptr").select("node", "comp")
+    entry = skew_lookup(loops, new.select(F.col("node").alias("ptr"), F.col("least").alias("comp")), ["ptr"], "inner")
+    entry = entry.join(members.withColumn("on_ring", F.lit(True)), "node", "left").select("node", "comp", F.coalesce("on_ring", F.lit(False)).alias("on_ring"))
     return nodes.join(trees.unionByName(entry), "node")
 
 
-def _walk(part: pd.DataFrame) -> pd.DataFrame:
+def _walk(part: pd.DataFrame, paths: bool = True) -> pd.DataFrame:
     """Iterative depth-first traversal, with node colouring, of whole components."""
+    keep = tuple if paths else lambda trail: None
     nodes, parents = part["node"].tolist(), [None if pd.isna(p) else int(p) for p in part["parent"]]
     parent = dict(zip(nodes, parents))
     below: dict[int, list[int]] = {}
@@ -84,7 +86,7 @@ def _walk(part: pd.DataFrame) -> pd.DataFrame:
         stack = [(start, iter(below.get(start, ())))]
         trail = list(path)
         colour[start] = grey
-        out[start] = (root, len(trail) - 1, tuple(trail), state)
+        out[start] = (root, len(trail) - 1, keep(trail), state)
         while stack:
             node, kids = stack[-1]
             for k in kids:
@@ -92,7 +94,7 @@ def _walk(part: pd.DataFrame) -> pd.DataFrame:
                     continue
                 colour[k] = grey
                 trail.append(k)
-                out[k] = (root, len(trail) - 1, tuple(trail), state)
+                out[k] = (root, len(trail) - 1, keep(trail), state)
                 stack.append((k, iter(below.get(k, ()))))
                 break
             else:
@@ -126,10 +128,10 @@ def _walk(part: pd.DataFrame) -> pd.DataFrame:
                             descend(k, least, "below_cycle", [m, k], members)
                             hang += count[k] + 1
                 for m in ring:
-                    out[m] = (least, 0, (m,), "cycle")
+                    out[m] = (least, 0, keep((m,)), "cycle")
                     count[m] = hang + len(ring) - 1
                     colour[m] = black
-    rows = [(n, parent[n], out[n][0], out[n][1], list(out[n][2]), count[n], out[n][3]) for n in nodes]
+    rows = [(n, parent[n], out[n][0], out[n][1], list(out[n][2]) if paths else None, count[n], out[n][3]) for n in nodes]
     res = pd.DataFrame(rows, columns=["node", "parent", "root_id", "depth", "path", "n_descendants", "node_state"])
     res["parent"] = res["parent"].astype("Int64")
     return res
@@ -141,7 +143,7 @@ def _levels(big: DataFrame) -> DataFrame:
     Each level is one join of the links to the level above, so no task ever
     holds more than its share of a level.
     """
-    ring = materialize(_ring_of(big), "bigring")
+    ring = big.where("on_ring").select("node")
     tops = big.where("parent is null").select("node", "parent", F.col("node").alias("root_id"), F.lit("tree").alias("node_state")).unionByName(ring.join(big.select("node", "parent", "comp"), "node").select("node", "parent", F.col("comp").alias("root_id"), F.lit("cycle").alias("node_state")))
     level = materialize(tops.select("node", "parent", "root_id", F.lit(0).alias("depth"), F.array("node").alias("path"), "node_state"), "level")
     rest = materialize(big.where("parent is not null").join(ring, "node", "left_anti").select("node", "parent"), "rest")
@@ -161,21 +163,16 @@ def _levels(big: DataFrame) -> DataFrame:
     return skew_lookup(whole.join(below, "node", "left"), sizes, ["root_id"], "left").select("node", "parent", "root_id", "depth", "path", F.when(F.col("node_state") == "cycle", F.col("size") - 1).otherwise(F.coalesce("below", F.lit(0))).cast("long").alias("n_descendants"), "node_state")
 
 
-def _ring_of(big: DataFrame) -> DataFrame:
-    """The nodes on cycles: from the smallest member of each (its comp), round the parents."""
-    start = big.where("parent is not null and node = comp").select("node", F.col("parent").alias("at"))
-    link = big.where("parent is not null").select(F.col("node").alias("at"), F.col("parent").alias("next"))
-    ring, walk = start.select("node"), start
-    walk = walk.where("at <> node")
-    while True:
-        walk = materialize(walk, "ringwalk")
-        if walk.isEmpty():
-            return ring.distinct()
-        ring = ring.unionByName(walk.select(F.col("at").alias("node")))
-        walk = walk.join(link, "at").select("node", F.col("next").alias("at")).where("at <> node")
+def _states(big: DataFrame) -> DataFrame:
+    """The same columns, without depth, path and descendants: components hold all that is needed."""
+    looped = big.where("on_ring").select("comp").distinct().withColumn("looped", F.lit(True))
+    state = F.when(F.col("on_ring"), "cycle").when(F.col("looped"), "below_cycle").otherwise("tree")
+    none = {"depth": "int", "path": "array<long>", "n_descendants": "long"}
+    rows = big.join(looped, "comp", "left").select("node", "parent", F.col("comp").alias("root_id"), *[F.lit(None).cast(t).alias(c) for c, t in none.items()], state.alias("node_state"))
+    return rows
 
 
-def hierarchy(nodes: DataFrame, most: int = 200_000, together: int = 20_000) -> DataFrame:
+def hierarchy(nodes: DataFrame, most: int = 200_000, together: int = 20_000, paths: bool = True) -> DataFrame:
     """Path, depth, root, number of descendants and state of every node.
 
     nodes(node long, parent long): one row a node; a parent that is no node is
@@ -198,10 +195,11 @@ def hierarchy(nodes: DataFrame, most: int = 200_000, together: int = 20_000) ->
     total, n_large = comp.count(), large.count()  # at most total / most of them
     small = comp if not n_large else comp.join(F.broadcast(large), "comp", "left_anti")
     buckets = max(1, total // together)
-    walked = small.withColumn("bucket", F.pmod(F.xxhash64("comp"), F.lit(buckets))).groupBy("bucket").applyInPandas(lambda part: _walk(part), SCHEMA)
+    walked = small.withColumn("bucket", F.pmod(F.xxhash64("comp"), F.lit(buckets))).groupBy("bucket").applyInPandas(lambda part: _walk(part, paths), SCHEMA)
     if not n_large:
         return walked
-    return walked.unionByName(_levels(materialize(comp.join(F.broadcast(large), "comp"), "large")))
+    big = materialize(comp.join(F.broadcast(large), "comp"), "large")
+    return walked.unionByName(_levels(big) if paths else _states(big))
 
 
 def category_nodes(page: DataFrame, categorylinks: DataFrame) -> DataFrame:

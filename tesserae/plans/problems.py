@@ -9,12 +9,12 @@ from tesserae.operators import hierarchy as h, orphans as o
 from tesserae.tables import table
 
 
-def _tree(spark: SparkSession, d: str) -> DataFrame:
-    return h.hierarchy(h.category_nodes(table(spark, d, "page"), table(spark, d, "categorylinks")))
+def _tree(spark: SparkSession, d: str, paths: bool = True) -> DataFrame:
+    return h.hierarchy(h.category_nodes(table(spark, d, "page"), table(spark, d, "categorylinks")), paths=paths)
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return _tree(spark, d).select(F.col("node").alias("page_id"), "root_id", "node_state")
+    return _tree(spark, d, paths=False).select(F.col("node").alias("page_id"), "root_id", "node_state")
 
 
 def p4_hierarchy(spark: SparkSession, d: str) -> DataFrame:

@@ -43,6 +43,14 @@ def test_random_forests_with_cycles(spark, most):
         assert r["n_descendants"] == len(below)
 
 
+@pytest.mark.parametrize("most", [200_000, 3])
+def test_states_without_paths(spark, most):
+    parent = {1: None, 2: 1, 3: 2, 4: 5, 5: 6, 6: 7, 7: 4, 8: 7, 9: 8, 10: 10} | {n: n - 1 for n in range(21, 260)} | {20: None}
+    got, want = tree(spark, parent, most=most, paths=False), brute(parent)
+    assert {n: (r["root_id"], r["node_state"]) for n, r in got.items()} == {n: x[:2] for n, x in want.items()}
+    assert all(r["path"] is None for r in got.values())
+
+
 def test_dirty_nodes(spark):
     rows = [(1, None, "x"), (1, None, "y"), (2, 1, "x"), (2, 99, "x"), (3, 99, "x"), (None, 1, "x")]
     df = spark.createDataFrame(rows, "node long, parent long, depth string")
