@@ -55,7 +55,7 @@ def test_long_text_is_cut_whole():
 
 def test_tables(spark):
     page = spark.createDataFrame([(1, "de", "text", "x"), (1, "de", "text", "y"), (2, None, "wikitext", "x"), (3, "xx", "text", "x")], "page_id long, page_lang string, page_content_model string, src string")
-    text = spark.createDataFrame([(0, 1, "T", "A b. C d."), (1, 1, "T", "A b. C d."), (0, 2, "T", "A. B."), (0, 3, "T", None), (0, 3, "T", " "), (0, 9, "T", "A."), (0, None, "T", "A.")], "id long, page_id long, title string, text string")
+    text = spark.createDataFrame([(0, 1, "T", "A b. C d."), (1, 1, "T", "A b. C d."), (0, 2, "T", "Ab. Bc."), (0, 3, "T", None), (0, 3, "T", " "), (0, 9, "T", "A."), (0, None, "T", "A.")], "id long, page_id long, title string, text string")
     tagged = spark.createDataFrame([(1, '[["Ab", "."], ["B"]]', 1), (1, '[["Ab", "."], ["B"]]', 2), (5, '[["x"]]', 1), (6, "kaputt", 1), (7, None, 1), (8, "[]", 1)], "page_id long, text string, unit_start int")
     got = {(r["src"], r["page_id"], r["unit_start"], r["unit_end"]) for r in m.sentence_units(text, tagged, page).collect()}
     assert got == {("text", 1, 0, 5), ("text", 1, 5, 9), ("tagged", 1, 0, 2), ("tagged", 1, 2, 3), ("tagged", 5, 0, 1)}
