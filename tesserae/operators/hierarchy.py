@@ -216,11 +216,43 @@ def category_nodes(page: DataFrame, categorylinks: DataFrame) -> DataFrame:
     return ids.join(linked, "node", "left")
 
 
-def descendants(tree: DataFrame) -> DataFrame:
-    """ancestor_id, descendant_id, distance for every pair on a path.
+def _ring_places(ring: DataFrame) -> DataFrame:
+    """node, root_id, place, length, size of each cycle's member: its steps up to the smallest one, and how many nodes there are on the cycle and in all.
 
-    Below a cycle, paths begin at the cycle's member they hang from; the
-    members' own mutual descent is given by their common root_id.
+    Pointer doubling along the cycle cut at its smallest member, so the
+    logarithm of its length in rounds.
     """
+    least = F.col("node") == F.col("root_id")
+    state = ring.select("node", "root_id", F.when(least, F.col("node")).otherwise(F.col("parent")).alias("ptr"), F.when(least, 0).otherwise(1).cast("long").alias("place"))
+    state = materialize(state, "places")
+    while not (active := state.where("ptr <> root_id")).isEmpty():
+        step = state.select(F.col("node").alias("ptr"), F.col("ptr").alias("next"), F.col("place").alias("more"))
+        moved = active.join(step, "ptr").select("node", "root_id", F.col("next").alias("ptr"), (F.col("place") + F.col("more")).alias("place"))
+        state = materialize(state.where("ptr = root_id").unionByName(moved), "places")
+    sizes = ring.groupBy("root_id").agg(F.count(F.lit(1)).alias("length"), (F.max("n_descendants") + 1).alias("size"))
+    return materialize(skew_lookup(state.drop("ptr"), sizes, ["root_id"], "inner"), "places")
+
+
+def descendants(tree: DataFrame, together: int = 1_000_000) -> DataFrame:
+    """ancestor_id, descendant_id, distance for every pair; as many of an ancestor as its n_descendants.
+
+    distance is the least number of steps up. Pairs on a path are read off it.
+    Below a cycle, paths begin at the member they hang from; the other members
+    of the cycle are ancestors too, of its members and of all below them: they
+    are joined on root_id, about `together` pairs to a salt. No node is its own
+    descendant.
+    """
+    tree = materialize(tree, "tree")
     steps = tree.select(F.col("node").alias("descendant_id"), F.col("depth"), F.posexplode("path").alias("at", "ancestor_id")).where("at < depth")
-    return steps.select("ancestor_id", "descendant_id", (F.col("depth") - F.col("at")).cast("int").alias("distance"))
+    pairs = steps.select("ancestor_id", "descendant_id", (F.col("depth") - F.col("at")).cast("int").alias("distance"))
+    ring = tree.where("node_state = 'cycle' and node <> parent")
+    if ring.isEmpty():
+        return pairs
+    places = _ring_places(ring.select("node", "parent", "root_id", "n_descendants"))
+    salts = F.least(F.lit(1024), 1 + F.floor(F.col("size") * F.col("length") / together)).cast("int")
+    entries = places.select(F.col("node").alias("entry"), F.col("place").alias("entry_place"), "length", "size")
+    hung = tree.where("node_state <> 'tree'").select(F.col("node").alias("descendant_id"), "root_id", "depth", F.col("path")[0].alias("entry"))
+    hung = skew_lookup(hung, entries, ["entry"], "inner").withColumn("salt", F.pmod(F.xxhash64("descendant_id"), salts).cast("int"))
+    others = places.select(F.col("node").alias("ancestor_id"), "root_id", "place", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+    around = F.pmod(F.col("entry_place") - F.col("place"), F.col("length"))
+    return pairs.unionByName(hung.join(others, ["root_id", "salt"]).where(around > 0).select("ancestor_id", "descendant_id", (F.col("depth") + around).cast("int").alias("distance")))

@@ -70,6 +70,25 @@ def test_descendants(spark):
     assert {tuple(r) for r in h.descendants(h.hierarchy(df)).collect()} == {(1, 2, 1), (1, 3, 2), (2, 3, 1)}
 
 
+@pytest.mark.parametrize("most, options", [(200_000, {}), (3, {"together": 5})])
+def test_descendants_around_cycles(spark, most, options):
+    parent = {1: None, 2: 1, 3: 2, 10: 11, 11: 12, 12: 13, 13: 10, 14: 12, 15: 14, 16: 10, 20: 20, 21: 20, 30: 31, 31: 30, 32: 31}
+    parent |= {n: n + 1 for n in range(100, 111)} | {111: 100}
+    want = {}
+    for n in parent:
+        at, steps = parent[n], 1
+        while at is not None and (at, n) not in want:
+            if at != n:
+                want[at, n] = steps
+            elif parent[n] == n or steps > 1:
+                break
+            at, steps = parent[at], steps + 1
+    nodes = h.hierarchy(spark.createDataFrame(list(parent.items()), "node long, parent long"), most=most)
+    got = [tuple(r) for r in h.descendants(nodes, **options).collect()]
+    assert sorted(got) == sorted((*k, d) for k, d in want.items())
+    assert {r["node"]: r["n_descendants"] for r in nodes.collect()} == {n: sum(a == n for a, _, _ in got) for n in parent}
+
+
 def test_skewed_lookup_keeps_every_row(spark):
     left = spark.range(9_000).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k"), "id")
     right = spark.createDataFrame([("hot", 1), ("1", 2), (None, 3), ("none", 4)], "k string, v int")
