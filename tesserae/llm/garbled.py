@@ -46,6 +46,7 @@ CLAUSE = re.compile(r"[.!?,;:]+[\x00-\x20]+|[\n\r]+")
 # Pieces of a word: East Asian characters apart from the rest, without lost ones.
 PIECE = re.compile(r"[⺀-鿿豈-﫿＀-￯]+|[^⺀-鿿豈-﫿＀-￯�]+")
 
+_BLANKS = dict.fromkeys(map(ord, "\u00a0\u202f\u3000\u00ad"))
 _CONTROLS = dict.fromkeys(range(0x80, 0xA1))
 
 RESULT = "doc_id long, chain string, n_restored int, n_lost int, restorable boolean, restored string"
@@ -127,6 +128,61 @@ def undo_utf8(text: str, read: str) -> str | None:
     return "".join(x if i % 2 else "".join(map(back, x)) for i, x in enumerate(parts))
 
 
+SEQUENCE = re.compile("[\x00-\x7f]|" + UTF8_SEQUENCE.pattern)
+HEAD = re.compile("[\u0080-\u00bf]{0,3}")  # what a loss leaves of a sequence after it, and before it
+TAIL = re.compile("(?:[\u00c2-\u00df]|[\u00e0-\u00ef][\u0080-\u00bf]?|[\u00f0-\u00f4][\u0080-\u00bf]{0,2})?")
+
+
+def undo_beside_lost(part: str, read: str, left: bool, right: bool) -> list[tuple[int, int, str]]:
+    """(start, end, decoded) of the stretches of part whose bytes, as read in the given encoding, are UTF-8.
+
+    left and right tell at which ends of part a lost character stands: stray
+    bytes there, of the character that lost some, go with the lost one.
+    """
+    own = to_bytes if read in MANY else lambda c, r: bytes([_table(r)[1][ord(c)]]) if ord(c) in _table(r)[1] else None
+    each = [own(c, read) or b"\xff" for c in part]
+    raw = b"".join(each).decode("latin-1")
+    place, at = {0: 0}, 0  # of characters by bytes
+    for i, b in enumerate(each):
+        at += len(b)
+        place[at] = i + 1
+    runs: list[list[tuple[int, int]]] = []
+    for m in SEQUENCE.finditer(raw):
+        if not runs or runs[-1][-1][1] != m.start():
+            runs.append([])
+        runs[-1].append(m.span())
+    if not runs and (left or right):
+        head = HEAD.match(raw).end() if left else 0
+        return [(0, len(part), "")] if raw and (TAIL.fullmatch(raw, head) if right else head == len(raw)) else []
+    out = []
+    for run in runs:
+        head, tail = left and HEAD.fullmatch(raw, 0, run[0][0]), right and TAIL.fullmatch(raw, run[-1][1])
+        while run and not head and run[0][0] not in place:
+            run = run[1:]
+        while run and not tail and run[-1][1] not in place:
+            run = run[:-1]
+        if run:
+            start, end = run[0][0], run[-1][1]
+            first, last = 0 if head else place[start], len(part) if tail else place[end]
+            try:
+                back = raw[start:end].encode("latin-1").decode("utf-8")
+            except UnicodeDecodeError:  # surrogates and the like
+                continue
+            if back != part[first:last]:
+                out.append((first, last, back))
+    return out
+
+
+def _cut(part: str, stretches: list[tuple[int, int, str]]) -> list[tuple[str, str]]:
+    """What of part stands before each stretch, and the stretch decoded; at the end, what is left."""
+    ends = [0, *(b for _, b, _ in stretches)]
+    return [(part[at:a], t) for at, (a, _, t) in zip(ends, stretches)] + [(part[ends[-1] :], "")]
+
+
+def _readable(text: str) -> bool:
+    return text.translate(_BLANKS).isprintable()
+
+
 def _learnable() -> list[tuple[str, str]]:
     return [(w, r) for w in WRITTEN for r in READ if w != r.rstrip("*") and not (w in MANY and w != "utf-8" and r in MANY)]
 
@@ -373,6 +429,7 @@ class Undo:
                 by_read[r].append(w)
         self.by_read = dict(by_read)
         self.utf8_reads = [r for r in READ if ("utf-8", r) in learned and r not in MANY] or ["cp1252*"]
+        self.whole_reads = [r for r in self.by_read if "utf-8" in self.by_read[r] and (r in MANY or r in LETTERS)]
         self.known: dict[str, tuple[str, str, float, float] | None] = {}
 
     def _needed(self, written: str, read: str) -> float:
@@ -387,7 +444,7 @@ class Undo:
         texts, owner, how = [], [], []
 
         def offer(back: str | None, word: str, written: str, read: str, chain: str) -> bool:
-            if not back or back == word or LOST in back or not back.isprintable() and not back.replace("\u00a0", "").replace("\u202f", "").replace("\u3000", "").replace("\u00ad", "").isprintable():
+            if not back or back == word or LOST in back or not _readable(back):
                 return False
             texts.append(back)
             owner.append(word)
@@ -471,6 +528,36 @@ class Undo:
                 return True
         return False
 
+    def beside_lost(self, words: list[str]) -> tuple[str, dict[tuple[str, int], list[tuple[int, int, str]]]]:
+        """The encoding in which a text's words with losses were read, and the stretches of their parts to undo.
+
+        Only for encodings whose bytes must decode as a whole: there a loss
+        leaves parts that begin and end within a UTF-8 sequence.
+        """
+        best, found, most = "", {}, 0.0
+        for read in self.whole_reads:
+            spans = []
+            for w in words:
+                parts = w.split(LOST)
+                for i, p in enumerate(parts):
+                    spans += [(w, i, p[a:b], a, b, t) for a, b, t in undo_beside_lost(p, read, i > 0, i + 1 < len(parts)) if LOST not in t and _readable(t)]
+            told = [x for x in spans if not x[5].isascii()]
+            if not told:
+                continue
+            gain = self.model.scores([x[5] for x in told]) - self.model.scores([x[2] for x in told])
+            need = self._needed("utf-8", read)
+            if gain.max() > need and (total := float(gain[gain > need].sum())) > most:
+                best, found, most = read, defaultdict(list), total
+                for (w, i, _, a, b, t), g in zip(told, gain):
+                    # bytes that form two long sequences by chance hardly occur
+                    if g > 0.5 or sum(c > "\u07ff" for c in t) >= 2:
+                        found[w, i].append((a, b, t))
+                undone = set(found)
+                for w, i, _, a, b, t in spans:  # stray bytes with ASCII or nothing else: only beside what was undone
+                    if t.isascii() and (w, i) not in undone and any((w, k) in undone for k in range(i - 3, i + 4)):
+                        found[w, i].append((a, b, t))
+        return best, dict(found)
+
     def __call__(self, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         word = re.compile(r"[^\x00-\x20]*[^\x00-\x7f][^\x00-\x20]*")
         for part in _slices(parts):
@@ -480,6 +567,12 @@ class Undo:
             for doc, text, ps in zip(part["doc_id"], part["text"], split):
                 if not ps and not (text and LOST in text):
                     continue
+                lost = text.count(LOST)
+                words = word.findall(text) if lost else []
+                read, beside = self.beside_lost([w for w in words if LOST in w])
+                if beside:  # what is undone there isn't judged by its pieces
+                    ps = [p for w in words for i, part in enumerate(w.split(LOST)) for shown, _ in _cut(part, beside.get((w, i), [])) for p in PIECE.findall(shown) if not p.isascii()]
+                    self.learn(set(ps))
                 sums: Counter[str] = Counter()
                 for p in ps:
                     if k := self.known[p]:
@@ -487,20 +580,32 @@ class Undo:
                 # many small gains by one proven mapping tell as much as a large one, if a whole clause agrees
                 spread = {c for c, g in sums.items() if g >= 16 and (pair := tuple(c.split(" read as "))) in self.learned and self._agrees(text, pair)}
                 chains = {k[1] for p in ps if (k := self.known[p]) and (k[2] > 0 or k[1].split(",")[0] in spread)}
-                lost = text.count(LOST)
+                if read:
+                    chains.add(f"utf-8 read as {read}")
                 if not chains and not lost:
                     continue
                 first = {c.split(",")[0] for c in chains}
+                n = 0
 
                 def restore(m: re.Match) -> str:
+                    nonlocal n
                     k = self.known.get(m[0])
                     # in a document with a known fault, smaller gains count as well
                     if k and (k[2] > 0 or k[1].split(",")[0] in first):
+                        n += 1
                         return k[0]
                     return m[0]
 
-                done = word.sub(lambda m: PIECE.sub(restore, m[0]), text)
-                n = sum(1 for p in ps if (k := self.known[p]) and (k[2] > 0 or k[1].split(",")[0] in first))
+                def restore_word(m: re.Match) -> str:
+                    nonlocal n
+                    done = []
+                    for i, part in enumerate(m[0].split(LOST)):
+                        own = beside.get((m[0], i), [])
+                        n += sum(t != "" for _, _, t in own)
+                        done.append("".join(PIECE.sub(restore, shown) + back for shown, back in _cut(part, own)))
+                    return LOST.join(done)
+
+                done = word.sub(restore_word, text)
                 out.append((doc, "; ".join(sorted(chains)) or "lost characters", n, lost, not lost, done))
             yield pd.DataFrame(out, columns=["doc_id", "chain", "n_restored", "n_lost", "restorable", "restored"]).astype({"doc_id": "Int64", "restorable": bool})
 
@@ -509,7 +614,8 @@ def restore(docs: DataFrame, least: int = 2) -> DataFrame:
     """doc_id, chain, n_restored, n_lost, restorable, restored of each garbled document.
 
     Text with replacement characters has lost what stood there; the rest of
-    it is restored all the same and restorable is false. Null, empty and
+    it is restored all the same and restorable is false. A character of which
+    a part was lost shows as the replacement character alone. Null, empty and
     ASCII texts are never garbled; repeated rows are judged alike; an empty
     table gives no rows. Other columns than doc_id and text are not read.
     """

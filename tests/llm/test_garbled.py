@@ -63,3 +63,38 @@ def test_finds_and_restores(spark):
 
 def test_empty(spark):
     assert m.restore(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+LOSSES = {
+    "gb18030": "湖北大学成立于1815年十二月，负责管理塔楼、花园等。东梅点雨于1928年出生，研究木造的市场。古老的桥位于寺石以北67.3公里处，人口9167人。",
+    "cp932": "バットは1644年9月に設立された。ババスチバは1739年に生まれ、小さな絵画を研究した。「水車を守ろう。」と新しい学校は述べた。",
+    "cp1251": "Исторія города. Иван и Ирина построили старые здания. Их не было.",
+}
+
+
+@pytest.mark.parametrize("read", LOSSES)
+def test_beside_lost_characters(spark, read):
+    text = LOSSES[read]
+    odd = text.encode().decode(read, "replace")
+    assert odd.count("\ufffd") >= 3
+    mixed = text[:9] + " " + odd
+    rows = [(i, text[i % 7 :]) for i in range(60)] + [(100, odd), (101, mixed), (102, text[:20] + "\ufffd" + text[21:])]
+    got = {r["doc_id"]: r for r in m.restore(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(got) == {100, 101, 102}
+    back = got[100]["restored"]
+    assert f"utf-8 read as {read}" in got[100]["chain"] and not got[100]["restorable"]
+    assert back.count("\ufffd") == odd.count("\ufffd") and got[100]["n_lost"] == odd.count("\ufffd")
+    at = 0
+    for part in back.split("\ufffd"):  # what stands between losses is the text's, in its order
+        assert part in text[at:]
+        at = text.index(part, at) + len(part)
+    # all but the characters that lost a byte, and their neighbours where two stood side by side
+    assert len(back.replace("\ufffd", "")) >= len(text) - 2 * odd.count("\ufffd")
+    assert got[101]["restored"] == text[:9] + " " + back
+    assert got[102]["restored"] == rows[-1][1]
+
+
+def test_stray_bytes():
+    assert m.undo_beside_lost("繧ｬ繧ｰ繝", "cp932", False, True) == [(0, 5, "ガグ")]
+    assert m.undo_beside_lost("繝", "cp932", True, True) == [(0, 1, "")] and m.undo_beside_lost("繝", "cp932", True, False) == []
+    assert m.undo_beside_lost("学校。繧ｬ繧ｰ繝", "cp932", False, True) == [(3, 8, "ガグ")]
