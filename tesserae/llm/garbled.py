@@ -184,7 +184,7 @@ def _readable(text: str) -> bool:
 
 
 def _learnable() -> list[tuple[str, str]]:
-    return [(w, r) for w in WRITTEN for r in READ if w != r.rstrip("*") and not (w in MANY and w != "utf-8" and r in MANY)]
+    return [(w, r) for w in WRITTEN for r in READ if w != r.rstrip("*") and not (w in MANY and r == "utf-8")]
 
 
 # ---- step 1: near-twins -------------------------------------------------------
@@ -425,7 +425,8 @@ class Undo:
         by_read: dict[str, list[str]] = defaultdict(list)
         for w, r in _learnable():
             legacy = w in MANY and w != "utf-8"
-            if r != "utf-8" and ((w, r) in learned or w not in WESTERN) and not (r in MANY and w != "utf-8" and (w, r) not in learned) and not (legacy and r not in ("cp1252*", "latin-1", "iso8859-15", "mac-roman")):
+            untaught = w not in WESTERN and not (r in MANY and w != "utf-8") and not (legacy and r not in ("cp1252*", "latin-1", "iso8859-15", "mac-roman"))
+            if r != "utf-8" and ((w, r) in learned or untaught):
                 by_read[r].append(w)
         self.by_read = dict(by_read)
         self.utf8_reads = [r for r in READ if ("utf-8", r) in learned and r not in MANY] or ["cp1252*"]
@@ -486,12 +487,13 @@ class Undo:
         best: dict[str, tuple[str, str, float, float]] = {}
         for i in np.flatnonzero(raw > 0.5):
             t, w, (written, read, chain) = texts[i], owner[i], how[i]
-            if written in MANY and written != "utf-8" and (len(t) < 4 or new[i] / (len(t) + 1) <= own[i] / (len(w) + 1)):
+            legacy = written in MANY and written != "utf-8"
+            if legacy and (len(t) < 4 and (written, read) not in self.learned or new[i] / (len(t) + 1) <= own[i] / (len(w) + 1)):
                 continue  # fewer characters only; each must read better as well
             if written != "utf-8" and _case_breaks(t) > _case_breaks(w):
                 continue  # encodings that swap the cases make such words; undoing doesn't
             gain = float(raw[i]) - self._needed(written, read)
-            if written != "utf-8" and sum(a != b for a, b in zip(t, w)) < 3:
+            if written != "utf-8" and sum(a != b for a, b in zip(t, w)) < 3 or legacy and len(t) < 4:
                 gain = min(gain, -1.0)  # too short to tell from a rare letter, but restored where its document is garbled so
             if w not in best or gain > best[w][2]:
                 best[w] = (t, chain, gain, float(raw[i]))

@@ -98,3 +98,23 @@ def test_stray_bytes():
     assert m.undo_beside_lost("繧ｬ繧ｰ繝", "cp932", False, True) == [(0, 5, "ガグ")]
     assert m.undo_beside_lost("繝", "cp932", True, True) == [(0, 1, "")] and m.undo_beside_lost("繝", "cp932", True, False) == []
     assert m.undo_beside_lost("学校。繧ｬ繧ｰ繝", "cp932", False, True) == [(3, 8, "ガグ")]
+
+
+KOR = "서울특별시는 대한민국의 수도이며 오래된 건물과 새로운 다리가 있는 아름다운 도시이다 학교에서 도서관으로 옮겼다".split()
+JPN = "東京都は日本の首都である 新しい学校が建てられた 古い橋を研究した 有名な小川は美しい 図書館へ移った".split()
+ENG = "The museum keeps letters from harbour workers about bridges schools gardens towers maps".split()
+
+
+@pytest.mark.parametrize("written, read, words", [("euc-kr", "cp437", KOR), ("euc-kr", "koi8-r", KOR), ("euc-kr", "gb18030", KOR), ("euc-jp", "cp1251*", JPN), ("euc-jp", "gb18030", JPN)])
+def test_learned_east_asian_mappings(spark, written, read, words):
+    rng = random.Random(5)
+    long = [w for w in words if len(w) >= 5]
+    sentences = [f"{' '.join(rng.sample(ENG, 5))} {rng.choice(long)} {rng.choice(ENG)} {rng.choice(words)} {i}." for i in range(900)]
+    bad = {i: m.misread(sentences[i], written, read) for i in range(0, 900, 60)}
+    assert all(m.LOST not in t for t in bad.values())
+    rows = [(i, t) for i, t in enumerate(sentences)] + [(5000 + i, sentences[i]) for i in bad] + [(1000 + i, t) for i, t in bad.items()]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert (written, read) in {(w, r) for w, r, _ in m.learned_mappings(df)}
+    got = {r["doc_id"]: r["restored"] for r in m.restore(df).collect()}
+    whole = sum(got.get(1000 + i) == sentences[i] for i in bad)
+    assert set(got) <= {1000 + i for i in bad} and whole >= 0.9 * len(bad)
