@@ -221,7 +221,7 @@ def _clauses(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter[str] = Counter()
         for text in part["text"]:
             if text and not text.isascii():
-                seen.update(c for c in CLAUSE.split(text) if c and len(c) <= 400 and not c.isascii())
+                seen.update(c for c in CLAUSE.split(text) if c and not c.isascii())
         rows = [(k, c, n) for c, n in seen.items() for k in _keys(c)]
         yield pd.DataFrame(rows, columns=["key", "clause", "n"])
 
@@ -264,7 +264,8 @@ class _Fits:
             got = tuple(i for i in maybe if misread(clean, *self.chains[i]) == odd)
             if len(self.known) > 50_000:
                 self.known.clear()
-            self.known[(clean, odd)] = got
+            if len(clean) + len(odd) <= 1000:  # memory must not follow the length of paragraphs
+                self.known[(clean, odd)] = got
         return got
 
 

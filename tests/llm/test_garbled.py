@@ -1,5 +1,6 @@
 import random
 
+import pandas as pd
 import pytest
 
 from tesserae.llm import garbled as m
@@ -118,3 +119,15 @@ def test_learned_east_asian_mappings(spark, written, read, words):
     got = {r["doc_id"]: r["restored"] for r in m.restore(df).collect()}
     whole = sum(got.get(1000 + i) == sentences[i] for i in bad)
     assert set(got) <= {1000 + i for i in bad} and whole >= 0.9 * len(bad)
+
+
+def test_long_clauses_teach(spark):
+    rng = random.Random(7)
+    texts = ["".join(rng.choice(JPN) for _ in range(60)) + "。" for _ in range(4)]
+    assert all(len(t) > 400 for t in texts)
+    rows = [(i, texts[i % 4]) for i in range(12)] + [(100 + i, m.misread(t, "utf-8", "cp437")) for i, t in enumerate(texts)]
+    rows = [(i, f"Museum and harbour {t}") for i, t in rows]
+    clauses = {c for part in m._clauses(iter([pd.DataFrame({"text": [t for _, t in rows]})])) for c in part["clause"]}
+    assert clauses == {t for _, t in rows}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [(w, r) for w, r, _ in m.learned_mappings(df)] == [("utf-8", "cp437")]
