@@ -268,7 +268,7 @@ def _elements(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for part in parts:
         rows = []
         for page, text in zip(part["page_id"], part["text"]):
-            found, marked, _, _ = parse(text)
+            found, marked, _ = clean(text)
             if marked:
                 rows.append((page, "any", 0))
             count = dict.fromkeys(KINDS, 0)

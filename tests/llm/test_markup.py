@@ -1,5 +1,6 @@
 from collections import Counter
 
+import pandas as pd
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -57,3 +58,13 @@ def test_tables(spark):
     assert m.markup_elements(text.limit(0), page).collect() == []
     rows = {r["page_id"]: r for r in m.cleaned_texts(text).collect()}
     assert rows[2]["clean_text"] == "" and rows[1]["clean_text"] == "# x\n- y" and m.cleaned_texts(text).count() == 6
+
+
+def test_elements_come_from_the_distribution(monkeypatch):
+    seen, clean = [], m.clean
+    monkeypatch.setattr(m, "clean", lambda text: seen.append(text) or clean(text))
+    texts = [t for t, _ in CASES] + PLAIN
+    rows = next(m._elements(iter([pd.DataFrame({"page_id": range(len(texts)), "text": texts})])))
+    assert seen == texts
+    for i, (_, want) in enumerate(CASES):
+        assert Counter(rows[rows["page_id"] == i]["unit_kind"]) == Counter(want) + Counter(["any"])
