@@ -1,19 +1,23 @@
 """P9: text decoded with the wrong character encoding, found and restored.
 
-Three steps, each over all documents:
+Three steps, each over all documents; the first two share one reading:
 
 1. Near-twins. Clauses are cut at ASCII punctuation and joined on their text
-   stripped of non-ASCII characters (digits masked); a second key keeps the
-   lengths of the non-ASCII runs, so scripts that leave nothing but blanks
-   can meet as well. Each key's most frequent clause is its clean twin; every
-   other clause is compared with that one only, so a key of any size costs in
-   proportion to its rows. Runs are aligned at their place in the stripped
-   text, and each aligned pair votes for the encodings that turn the one into
-   the other. The votes are the learned mappings.
+   stripped of non-ASCII characters, with digits masked and, where there are
+   many, as they are. Scripts that leave nothing but blanks meet on the lengths
+   of the non-ASCII runs, as characters, as UTF-8 and as double bytes: what is
+   read byte by byte has as many characters as its twin has bytes. Each key's
+   most frequent clause is its twin; every other clause is compared with that
+   one only, so a key of any size costs in proportion to its rows. Runs are
+   aligned at their place in the stripped text, and each aligned pair votes
+   for the encodings that turn the one into the other. The votes are the
+   learned mappings.
 2. A character model: hashed counts of one, two and three characters in
    arrays of fixed size, which every document feeds.
-3. The mappings are undone in every document, word by word; what decodes and
-   reads better by the model is garbled, and its decoding is the restored text.
+3. The learned mappings, and no others, are undone in every document, word by
+   word; what decodes and reads better by the model is garbled, and its
+   decoding is the restored text. Texts with replacement characters are a kind
+   of their own, `lost characters`: they are found without any mapping.
 """
 
 from __future__ import annotations
@@ -26,8 +30,10 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tesserae.operators.skew import skew_lookup
 from tesserae.session import materialize
 
 # The encodings texts are written in and wrongly read in. Names
@@ -195,17 +201,19 @@ def _hash(key: str) -> int:
 
 
 def _keys(clause: str) -> list[int]:
-    """The stripped text, and the text with the lengths of its runs, in characters and in bytes, as hashes."""
-    stripped = re.sub(r"[0-9]+", "0", NON_ASCII.sub("", clause))
+    """What twins share, as hashes: the stripped text, its digits masked or not, and the text with the lengths of its runs."""
+    bare = NON_ASCII.sub("", clause)
+    stripped = re.sub(r"[0-9]+", "0", bare)
     out = []
     if sum(c.isalpha() for c in stripped) >= 6:
         out.append("s" + stripped)
+    if sum(c.isdigit() for c in bare) >= 6:
+        out.append("d" + bare)
     runs = NON_ASCII.findall(clause)
     if sum(map(len, runs)) >= 8:
         masked = re.sub(r"[0-9]+", "0", clause)
-        chars = NON_ASCII.sub(lambda m: f"\x01{len(m[0])}\x02", masked)
-        sizes = NON_ASCII.sub(lambda m: f"\x01{len(m[0].encode('utf-8', 'replace'))}\x02", masked)
-        out += ["l" + chars, "l" + sizes]
+        sizes = [len, lambda r: len(r.encode("utf-8", "replace")), lambda r: len(r) + sum(c > "\u2e7f" for c in r)]
+        out += dict.fromkeys("l" + NON_ASCII.sub(lambda m: f"\x01{size(m[0])}\x02", masked) for size in sizes)
     return [_hash(k) for k in out]
 
 
@@ -216,20 +224,36 @@ def _slices(parts: Iterator[pd.DataFrame], rows: int = 500) -> Iterator[pd.DataF
             yield part.iloc[i : i + rows]
 
 
-def _clauses(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for part in _slices(parts):
-        seen: Counter[str] = Counter()
-        for text in part["text"]:
-            if text and not text.isascii():
-                seen.update(c for c in CLAUSE.split(text) if c and not c.isascii())
-        rows = [(k, c, n) for c, n in seen.items() for k in _keys(c)]
-        yield pd.DataFrame(rows, columns=["key", "clause", "n"])
+def _scan(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One reading of the texts: their clauses with keys and numbers, and the character model's counts, of the same size for any input."""
+    sums = [np.zeros(n, np.int64) for n in SIZES]
+    for part in parts:
+        texts = part.column(0)
+        for at in range(0, len(texts), 100):
+            own = [t for t in texts.slice(at, 100).to_pylist() if t]
+            _add(sums, own)
+            seen: Counter[str] = Counter()
+            for text in own:
+                if not text.isascii():
+                    seen.update(c for c in CLAUSE.split(text) if c and not c.isascii())
+            rows = [(k, c, n) for c, n in seen.items() if (k := _keys(c))]
+            columns = [pa.nulls(len(rows), pa.int64()), *(pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.list_(pa.int64()), pa.string(), pa.int64())))]
+            yield pa.RecordBatch.from_arrays(columns, ["slot", "keys", "clause", "n"])
+    for order, total in enumerate(sums):
+        at = np.flatnonzero(total)
+        columns = [pa.array(order << 20 | at), pa.nulls(len(at), pa.list_(pa.int64())), pa.nulls(len(at), pa.string()), pa.array(total[at])]
+        yield pa.RecordBatch.from_arrays(columns, ["slot", "keys", "clause", "n"])
+
+
+def scanned(docs: DataFrame) -> DataFrame:
+    """slot, keys, clause, n: what the first two steps need of all documents, written once."""
+    return materialize(docs.where("text is not null").select("text").mapInArrow(_scan, "slot long, keys array<long>, clause string, n long"), "scan")
 
 
 def _aligned(clean: str, odd: str) -> list[tuple[str, str]]:
     """Runs of non-ASCII characters at the same place of the stripped texts.
 
-    Lost characters show no mapping: any would explain them.
+    Where characters are lost, only runs that hold others enough tell a mapping.
     """
 
     def places(s: str) -> dict[int, str]:
@@ -240,7 +264,7 @@ def _aligned(clean: str, odd: str) -> list[tuple[str, str]]:
         return out
 
     a, b = places(re.sub(r"[0-9]+", "0", clean)), places(re.sub(r"[0-9]+", "0", odd))
-    return [(run, b[at]) for at, run in a.items() if at in b and b[at] != run and LOST not in run + b[at]]
+    return [(run, b[at]) for at, run in a.items() if at in b and b[at] != run and LOST not in run and (LOST not in b[at] or sum(c != LOST for c in b[at]) >= 8)]
 
 
 class _Fits:
@@ -257,11 +281,13 @@ class _Fits:
         got = self.known.get((clean, odd))
         if got is None:
             head = (clean[0], odd[0])
+            if odd[0] == LOST:
+                self.firsts[head] = self.narrow
             if head not in self.firsts:
                 # one-byte encodings show a character's bytes one by one, so the first must agree
                 self.firsts[head] = [i for i in self.narrow if (m := misread(head[0], *self.chains[i])) and m[0] == head[1]]
             maybe = self.firsts[head] + (self.wide if any(c > "\u2e7f" for c in odd) else [])
-            got = tuple(i for i in maybe if misread(clean, *self.chains[i]) == odd)
+            got = tuple(i for i in maybe if (made := misread(clean, *self.chains[i])) == odd or LOST in odd and made and len(made) == len(odd) and all(b in (a, LOST) for a, b in zip(made, odd)))
             if len(self.known) > 50_000:
                 self.known.clear()
             if len(clean) + len(odd) <= 1000:  # memory must not follow the length of paragraphs
@@ -272,17 +298,20 @@ class _Fits:
 def _vote(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     fits = _Fits()
     chains = fits.chains
-    for part in parts:
+    for part in _slices(parts):
         rows = []
-        for clean, odd in zip(part["twin"], part["clause"]):
-            pairs = _aligned(clean, odd)
-            common: set[int] | None = None
-            for a, b in pairs:  # one mapping must explain a clause's pairs
-                got = {i for i in fits(a, b) if chains[i][0] == "utf-8" or not _shows_utf8(a)}
-                common = got if common is None else common & got
-            if common:
-                a, b = max(pairs, key=lambda p: len(p[0]))
-                rows.append((",".join(map(str, sorted(common))), a, b))
+        for twin, clause in zip(part["twin"], part["clause"]):
+            for clean, odd in ((twin, clause), (clause, twin)):  # of twins equally frequent either may be the clean one
+                pairs = _aligned(clean, odd)
+                common: set[int] | None = None
+                for a, b in pairs:  # one mapping must explain a clause's pairs
+                    got = {i for i in fits(a, b) if chains[i][0] == "utf-8" or not _shows_utf8(a)}
+                    common = got if common is None else common & got
+                    if not common:
+                        break
+                if common:
+                    a, b = max(pairs, key=lambda p: len(p[0]))
+                    rows.append((",".join(map(str, sorted(common))), a, b))
         yield pd.DataFrame(rows, columns=["mappings", "clean", "odd"])
 
 
@@ -291,20 +320,24 @@ def _shows_utf8(run: str) -> bool:
     return any(_lead(r).search(run) for r in READ if r not in MANY and r not in LETTERS)
 
 
-def learned_mappings(docs: DataFrame, least: int = 2) -> list[tuple[str, str, int]]:
-    """(written, was_read, pairs) of the mappings that explain the aligned runs.
+def learned_mappings(scan: DataFrame, least: int = 2) -> list[tuple[str, str, int]]:
+    """(written, was_read, pairs) of the mappings that explain the aligned runs of `scanned` texts.
 
     Distinct pairs of runs are counted by the set of mappings that explain
     them; the mapping that explains most is taken, then the one that explains
     most of what is left, until none explains `least` pairs more. So of
-    encodings that agree on the letters seen only one is learned. What comes
-    to the driver is one number for each such set.
+    encodings that agree on the letters seen only one is learned. Keys meet by
+    the hashes of clauses; texts are fetched for twins only. What comes to the
+    driver is one number for each set of mappings that agree.
     """
-    clauses = docs.where("text is not null").select("text").mapInPandas(_clauses, "key long, clause string, n long").groupBy("key", "clause").agg(F.sum("n").alias("n"))
-    clauses = materialize(clauses, "clauses")
-    twin = clauses.groupBy("key").agg(F.max(F.struct("n", "clause")).alias("top"), F.count(F.lit(1)).alias("ways")).where("ways > 1").select("key", F.col("top.clause").alias("twin"))
-    pairs = clauses.join(twin, "key").where("clause <> twin").select("twin", "clause").distinct()
-    votes = pairs.mapInPandas(_vote, "mappings string, clean string, odd string").distinct().groupBy("mappings").agg(F.count(F.lit(1)).alias("n")).collect()
+    clauses = scan.where("clause is not null").groupBy("clause").agg(F.sum("n").alias("n"), F.first("keys").alias("keys"))
+    clauses = materialize(clauses.withColumn("cid", F.xxhash64("clause")), "clauses")
+    keyed = clauses.select("cid", "n", F.explode("keys").alias("key"))
+    twin = keyed.groupBy("key").agg(F.max(F.struct("n", "cid")).alias("top"), F.count(F.lit(1)).alias("ways")).where("ways > 1").select("key", F.col("top.cid").alias("twin_id"))
+    pairs = skew_lookup(keyed.select("cid", "key"), twin, ["key"], "inner").where("cid <> twin_id").select("cid", "twin_id").distinct()
+    pairs = materialize(pairs.join(clauses.select("cid", "clause"), "cid"), "pairs")
+    pairs = skew_lookup(pairs, clauses.select(F.col("cid").alias("twin_id"), F.col("clause").alias("twin")), ["twin_id"], "inner")
+    votes = pairs.select("twin", "clause").mapInPandas(_vote, "mappings string, clean string, odd string").distinct().groupBy("mappings").agg(F.count(F.lit(1)).alias("n")).collect()
     chains = _learnable()
     left = [({int(i) for i in r["mappings"].split(",")}, r["n"]) for r in votes]
     out = []
@@ -340,18 +373,11 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def _count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Dense counts of a whole partition, of the same size for any input."""
-    sums = [np.zeros(n, np.int64) for n in SIZES]
-    for part in _slices(parts, 100):
-        text = "  ".join(t for t in part["text"] if t)
-        text = re.sub(r"[\x00-\x20]+", " ", text)
-        for i in range(0, len(text), 200_000):
-            for total, h in zip(sums, _hashed(_points(text[i : i + 200_000]))):
-                np.add.at(total, h, 1)
-    for order, total in enumerate(sums):
-        at = np.flatnonzero(total)
-        yield pd.DataFrame({"slot": order << 20 | at, "n": total[at]})
+def _add(sums: list[np.ndarray], texts: list[str]) -> None:
+    text = re.sub(r"[\x00-\x20]+", " ", "  ".join(texts))
+    for i in range(0, len(text), 200_000):
+        for total, h in zip(sums, _hashed(_points(text[i : i + 200_000]))):
+            np.add.at(total, h, 1)
 
 
 class Model:
@@ -403,9 +429,9 @@ class Model:
         return np.add.reduceat(logs, starts)
 
 
-def character_model(docs: DataFrame) -> Model:
-    """Counted over all documents; what comes to the driver is at most one number a bucket."""
-    counts = docs.where("text is not null").select("text").mapInPandas(_count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+def character_model(scan: DataFrame) -> Model:
+    """Counted over all `scanned` documents; what comes to the driver is at most one number a bucket."""
+    counts = scan.where("slot is not null").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
     return Model(counts["slot"].to_numpy(), counts["n"].to_numpy())
 
 
@@ -425,21 +451,17 @@ class Undo:
         self.model, self.learned = model, learned
         by_read: dict[str, list[str]] = defaultdict(list)
         for w, r in _learnable():
-            legacy = w in MANY and w != "utf-8"
-            untaught = w not in WESTERN and not (r in MANY and w != "utf-8") and not (legacy and r not in ("cp1252*", "latin-1", "iso8859-15", "mac-roman"))
-            if r != "utf-8" and ((w, r) in learned or untaught):
+            if r != "utf-8" and (w, r) in learned:
                 by_read[r].append(w)
         self.by_read = dict(by_read)
-        self.utf8_reads = [r for r in READ if ("utf-8", r) in learned and r not in MANY] or ["cp1252*"]
-        self.whole_reads = [r for r in self.by_read if "utf-8" in self.by_read[r] and (r in MANY or r in LETTERS)]
+        self.utf8_reads = [r for r in by_read if "utf-8" in by_read[r] and r not in MANY]
+        self.whole_reads = [r for r in by_read if "utf-8" in by_read[r] and (r in MANY or r in LETTERS)]
         self.known: dict[str, tuple[str, str, float, float] | None] = {}
 
-    def _needed(self, written: str, read: str) -> float:
-        """The gain in log-probability that tells a garbled word from a rare one."""
-        proven = (written, read) in self.learned
-        if written == "utf-8":  # bytes that form UTF-8 by chance are rare
-            return 0.7 if proven else 5.0
-        return 6.5 if proven else 14.0
+    @staticmethod
+    def _needed(written: str) -> float:
+        """The gain in log-probability that tells a garbled word from a rare one; bytes that form UTF-8 by chance are rare."""
+        return 0.7 if written == "utf-8" else 6.5
 
     def pieces(self, words: list[str]) -> dict[str, tuple[str, str, float, float]]:
         """word -> (restored, chain, gain over what is needed, gain), for those that read better."""
@@ -489,11 +511,11 @@ class Undo:
         for i in np.flatnonzero(raw > 0.5):
             t, w, (written, read, chain) = texts[i], owner[i], how[i]
             legacy = written in MANY and written != "utf-8"
-            if legacy and (len(t) < 4 and (written, read) not in self.learned or new[i] / (len(t) + 1) <= own[i] / (len(w) + 1)):
+            if legacy and new[i] / (len(t) + 1) <= own[i] / (len(w) + 1):
                 continue  # fewer characters only; each must read better as well
             if written != "utf-8" and _case_breaks(t) > _case_breaks(w):
                 continue  # encodings that swap the cases make such words; undoing doesn't
-            gain = float(raw[i]) - self._needed(written, read)
+            gain = float(raw[i]) - self._needed(written)
             if written != "utf-8" and sum(a != b for a, b in zip(t, w)) < 3 or legacy and len(t) < 4:
                 gain = min(gain, -1.0)  # too short to tell from a rare letter, but restored where its document is garbled so
             if w not in best or gain > best[w][2]:
@@ -548,7 +570,7 @@ class Undo:
             if not told:
                 continue
             gain = self.model.scores([x[5] for x in told]) - self.model.scores([x[2] for x in told])
-            need = self._needed("utf-8", read)
+            need = self._needed("utf-8")
             if gain.max() > need and (total := float(gain[gain > need].sum())) > most:
                 best, found, most = read, defaultdict(list), total
                 for (w, i, _, a, b, t), g in zip(told, gain):
@@ -580,8 +602,8 @@ class Undo:
                 for p in ps:
                     if k := self.known[p]:
                         sums[k[1].split(",")[0]] += k[3]
-                # many small gains by one proven mapping tell as much as a large one, if a whole clause agrees
-                spread = {c for c, g in sums.items() if g >= 16 and (pair := tuple(c.split(" read as "))) in self.learned and self._agrees(text, pair)}
+                # many small gains by one mapping tell as much as a large one, if a whole clause agrees
+                spread = {c for c, g in sums.items() if g >= 16 and self._agrees(text, tuple(c.split(" read as ")))}
                 chains = {k[1] for p in ps if (k := self.known[p]) and (k[2] > 0 or k[1].split(",")[0] in spread)}
                 if read:
                     chains.add(f"utf-8 read as {read}")
@@ -623,8 +645,9 @@ def restore(docs: DataFrame, least: int = 2) -> DataFrame:
     table gives no rows. Other columns than doc_id and text are not read.
     """
     docs = docs.select("doc_id", "text")
-    learned = {(w, r) for w, r, _ in learned_mappings(docs, least)}
-    undo = Undo(character_model(docs), learned)
+    scan = scanned(docs)
+    learned = {(w, r) for w, r, _ in learned_mappings(scan, least)}
+    undo = Undo(character_model(scan), learned)
     shared = docs.sparkSession.sparkContext.broadcast(undo)
     return docs.where("text is not null").mapInPandas(lambda parts: shared.value(parts), RESULT)
 

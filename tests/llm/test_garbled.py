@@ -1,6 +1,6 @@
 import random
 
-import pandas as pd
+import pyarrow as pa
 import pytest
 
 from tesserae.llm import garbled as m
@@ -54,12 +54,13 @@ def test_finds_and_restores(spark):
         bad[i] = m.misread(clean[i], "cp1251", "cp1252*")
     bad = {i: t for i, t in bad.items() if t != clean[i]}
     rows = [(i, bad.get(i, t), x) for i, t, x in rows] + [(900, "Das Wort \ufffdber fehlt.", "x"), (901, None, "x"), (902, "", "x"), (903, "plain", "x"), (904, "A FREGUESIA DE SÃO JOÃO", "x"), (905, clean[1] * 300, "x")]
+    rows += [(1000 + i, clean[i], "x") for i in bad]  # the clean twins
     df = spark.createDataFrame(rows, "doc_id long, text string, restored string")
     got = {r["doc_id"]: r for r in m.restore(df).collect()}
     assert set(got) == set(bad) | {900}
     assert not got[900]["restorable"]
     assert all(got[i]["restored"] == clean[i] for i in bad if ("cp1251" not in got[i]["chain"]))
-    assert {(w, r) for w, r, _ in m.learned_mappings(df)} >= {("utf-8", "cp1252*")}
+    assert {(w, r) for w, r, _ in m.learned_mappings(m.scanned(df))} >= {("utf-8", "cp1252*")}
 
 
 def test_empty(spark):
@@ -79,9 +80,12 @@ def test_beside_lost_characters(spark, read):
     odd = text.encode().decode(read, "replace")
     assert odd.count("\ufffd") >= 3
     mixed = text[:9] + " " + odd
+    # twins of this text and of another one teach the mapping
+    other = text[::-1] + "1234567890"
     rows = [(i, text[i % 7 :]) for i in range(60)] + [(100, odd), (101, mixed), (102, text[:20] + "\ufffd" + text[21:])]
+    rows += [(200 + i, t) for i, t in enumerate((other, other, text + "。1234567890。", text + "。1234567890。"))] + [(300 + i, t.encode().decode(read, "replace")) for i, t in enumerate((other, text + "。1234567890。"))]
     got = {r["doc_id"]: r for r in m.restore(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert set(got) == {100, 101, 102}
+    assert set(got) == {100, 101, 102, 300, 301}
     back = got[100]["restored"]
     assert f"utf-8 read as {read}" in got[100]["chain"] and not got[100]["restorable"]
     assert back.count("\ufffd") == odd.count("\ufffd") and got[100]["n_lost"] == odd.count("\ufffd")
@@ -92,7 +96,7 @@ def test_beside_lost_characters(spark, read):
     # all but the characters that lost a byte, and their neighbours where two stood side by side
     assert len(back.replace("\ufffd", "")) >= len(text) - 2 * odd.count("\ufffd")
     assert got[101]["restored"] == text[:9] + " " + back
-    assert got[102]["restored"] == rows[-1][1]
+    assert got[102]["restored"] == text[:20] + "\ufffd" + text[21:]
 
 
 def test_stray_bytes():
@@ -115,7 +119,7 @@ def test_learned_east_asian_mappings(spark, written, read, words):
     assert all(m.LOST not in t for t in bad.values())
     rows = [(i, t) for i, t in enumerate(sentences)] + [(5000 + i, sentences[i]) for i in bad] + [(1000 + i, t) for i, t in bad.items()]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert (written, read) in {(w, r) for w, r, _ in m.learned_mappings(df)}
+    assert (written, read) in {(w, r) for w, r, _ in m.learned_mappings(m.scanned(df))}
     got = {r["doc_id"]: r["restored"] for r in m.restore(df).collect()}
     whole = sum(got.get(1000 + i) == sentences[i] for i in bad)
     assert set(got) <= {1000 + i for i in bad} and whole >= 0.9 * len(bad)
@@ -127,7 +131,32 @@ def test_long_clauses_teach(spark):
     assert all(len(t) > 400 for t in texts)
     rows = [(i, texts[i % 4]) for i in range(12)] + [(100 + i, m.misread(t, "utf-8", "cp437")) for i, t in enumerate(texts)]
     rows = [(i, f"Museum and harbour {t}") for i, t in rows]
-    clauses = {c for part in m._clauses(iter([pd.DataFrame({"text": [t for _, t in rows]})])) for c in part["clause"]}
+    clauses = {c for part in m._scan(iter([pa.RecordBatch.from_pydict({"text": [t for _, t in rows]})])) for c in part.column("clause").to_pylist() if c}
     assert clauses == {t for _, t in rows}
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert [(w, r) for w, r, _ in m.learned_mappings(df)] == [("utf-8", "cp437")]
+    assert [(w, r) for w, r, _ in m.learned_mappings(m.scanned(df))] == [("utf-8", "cp437")]
+
+
+def test_nothing_learned_nothing_found(spark):
+    rng = random.Random(3)
+    clean = [t for _, t, _ in corpus(rng)]
+    odd = [m.misread(t, "utf-8", "cp1252*") for t in clean[1:200:4]] + [m.misread(t, "cp1251", "cp1252*") for t in clean[0:200:4]]
+    # without twins nothing is learned, and what is garbled all the same stays unfound; losses are a kind of their own
+    rows = list(enumerate(clean[200:] + odd)) + [(900, "Das Wort \ufffdber fehlt.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    scan = m.scanned(df)
+    undo = m.Undo(m.character_model(scan), set())
+    import pandas as pd
+
+    got = pd.concat(undo(iter([pd.DataFrame(rows, columns=["doc_id", "text"])])))
+    assert got[["doc_id", "chain"]].values.tolist() == [[900, "lost characters"]]
+    taught = spark.createDataFrame(rows + [(1000 + i, t) for i, t in enumerate(clean[1:200:4])], "doc_id long, text string")
+    assert {r["doc_id"] for r in m.restore(taught).collect()} >= {200 + i for i, t in enumerate(odd[:50]) if not t.isascii()}
+
+
+def test_twins_by_digits_and_byte_lengths():
+    text = "湖北大学成立于1815年十二月，人口9167人。"
+    assert set(m._keys(text)) & set(m._keys(m.misread(text, "utf-8", "gb18030")))
+    text = "北京市有許多古老的建築"
+    assert set(m._keys(text)) & set(m._keys(m.misread(text, "big5", "latin-1")))
+    assert m._aligned("x年", "x\ufffd") == []
