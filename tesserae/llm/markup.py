@@ -2,11 +2,12 @@ r"""P3: markup residue in articles, to clean text that keeps its structure.
 
 HTML, Markdown, wiki and LaTeX markup may meet in one text. What is shown
 literally (code, comments, scripts, formulas) is taken out first; the rest is
-read line by line. Every heading, list item, code block and formula comes out
-as an element. The running text is kept by line-block distribution: the
+read line by line, and every heading, list item, code block and formula leaves
+a mark on its line. Then the line-block distribution decides what is kept: the
 markup is stripped, the lengths of the bare lines are summed over a sliding
-window, a surge of the sums opens a block of text and a dive closes it, and
-what lies between is kept; elements are kept wherever they stand.
+window, a surge of the sums opens a block of text and a dive closes it; what
+counts as one comes from the text's own distribution of sums. A line with a
+mark is a surge by itself. Clean text and elements are read off the kept lines.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 import html
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import regex as re
 from pyspark.sql import DataFrame, functions as F
@@ -26,18 +28,19 @@ MATH_ENVIRONMENTS = "equation|align|gather|multline|eqnarray|displaymath|math|fl
 CODE_TAGS = "source|syntaxhighlight"
 TAGS = "a|abbr|b|big|blockquote|body|br|caption|center|cite|code|col|colgroup|dd|del|dfn|div|dl|dt|em|font|footer|gallery|h[1-6]|head|header|hr|html|i|imagemap|img|includeonly|ins|kbd|li|link|main|mark|math|meta|nav|noinclude|nowiki|ol|onlyinclude|p|poem|pre|q|ref|references|s|samp|script|section|small|source|span|strike|strong|style|sub|sup|syntaxhighlight|table|tbody|td|tfoot|th|thead|timeline|title|tr|tt|u|ul|var|wbr"
 
-CODE, MATH, LITERAL, END = "\ue001", "\ue002", "\ue003", "\ue004"
+CODE, MATH, LITERAL, END, ELEMENT, APART = "\ue001", "\ue002", "\ue003", "\ue004", "\ue005", "\ue006"
 HELD = re.compile(f"([{CODE}{MATH}{LITERAL}])(\\d+){END}")
+MARKED = re.compile(f"{ELEMENT}(\\d+){END}")
 
 SHIELD = re.compile(
-    rf"""(?P<none><!--.*?(?:-->|\Z)|<(?P<hid>script|style)\b[^>]*>.*?(?:</(?P=hid)\s*>|\Z))
+    rf"""(?P<none><!--.*?(?:-->|\Z)|<(?P<hid>script|style)\b[^<>]*>.*?(?:</(?P=hid)\s*>|\Z))
     |(?P<literal><nowiki\s*>.*?(?:</nowiki\s*>|\Z)|<nowiki\s*/>)
-    |(?P<code><pre\b[^>]*>.*?(?:</pre\s*>|\Z)
-      |<(?P<ctag>{CODE_TAGS})\b[^>]*>.*?(?:</(?P=ctag)\s*>|\Z)
+    |(?P<code><pre\b[^<>]*>.*?(?:</pre\s*>|\Z)
+      |<(?P<ctag>{CODE_TAGS})\b[^<>]*>.*?(?:</(?P=ctag)\s*>|\Z)
       |^[ ]{{0,3}}(?P<fence>`{{3,}}|~{{3,}})[^\n`]*\n.*?(?:^[ ]{{0,3}}(?P=fence)[`~]*[ \t]*$|\Z)
       |\\begin\{{(?P<cenv>{CODE_ENVIRONMENTS})\*?\}}.*?(?:\\end\{{(?P=cenv)\*?\}}|\Z))
-    |(?P<inline><code\b[^>]*>.*?</code\s*>|<(?P<mono>tt|kbd|samp)\b[^>]*>.*?</(?P=mono)\s*>|(?<!`)(?P<tick>`{{1,2}})(?!`)[^`\n]+(?P=tick)(?!`)|\\(?:verb|lstinline)\*?(?P<bar>[|!+@]).*?(?P=bar))
-    |(?P<math><math\b[^>/]*>.*?(?:</math\s*>|\Z)
+    |(?P<inline><code\b[^<>]*>.*?</code\s*>|<(?P<mono>tt|kbd|samp)\b[^<>]*>.*?</(?P=mono)\s*>|(?<!`)(?P<tick>`{{1,2}})(?!`)[^`\n]+(?P=tick)(?!`)|\\(?:verb|lstinline)\*?(?P<bar>[|!+@])[^\n]*?(?P=bar))
+    |(?P<math><math\b[^<>/]*>.*?(?:</math\s*>|\Z)
       |\\begin\{{(?P<menv>{MATH_ENVIRONMENTS})\*?\}}.*?(?:\\end\{{(?P=menv)\*?\}}|\Z)
       |(?<!\\)\$\$(?!\$).+?\$\$
       |(?<!\\)\\\[.+?\\\]
@@ -72,6 +75,19 @@ ANY = re.compile(
 )
 
 
+# What is shielded only where it is closed: openings behind the last closing would each be sought to the text's end.
+CLOSED = [(re.compile(o, re.I), re.compile(c, re.I)) for o, c in (("<(?=code\\b)", "(?r)</code"), ("<(?=(?:tt|kbd|samp)\\b)", "(?r)</(?:tt|kbd|samp)"), (r"\\(?=\[)", r"(?r)\\\]"), (r"\\(?=\()", r"(?r)\\\)"))]
+
+
+def _open_ends(text: str) -> str:
+    """Openings that nothing closes, set apart from what they open."""
+    for opening, closing in CLOSED:
+        last = closing.search(text)
+        at = last.end() if last else 0
+        text = text[:at] + opening.sub(lambda m: m[0] + APART, text[at:])
+    return text
+
+
 def _item(line: str, before: str, numbers: dict[int, int]) -> str | None:
     """The text of a list item, if the line is one; before is the line above it."""
     tail = before.strip()
@@ -115,7 +131,8 @@ def parse(text: str) -> tuple[list[tuple[str, str]], bool, str, list[str]]:
 
     In that text headings begin with `# ` and items with `- `, on lines of
     their own; what is shown literally stands in the list at the end, and a
-    mark with its number holds its place.
+    mark with its number holds its place. A line begins with a mark for each
+    element on it.
     """
     held: list[str] = []
     gone = False
@@ -130,9 +147,10 @@ def parse(text: str) -> tuple[list[tuple[str, str]], bool, str, list[str]]:
         return f"{mark}{len(held) - 1}{END}"
 
     text = text.replace("\r\n", "\n").replace("\r", "\n")
-    for mark in (CODE, MATH, LITERAL, END):
+    for mark in (CODE, MATH, LITERAL, END, ELEMENT, APART):
         text = text.replace(mark, " ")
-    masked = SHIELD.sub(shield, text)
+    masked = SHIELD.sub(shield, _open_ends(text)).replace(APART, "")
+    held = [h.replace(APART, "") for h in held]
     found: list[tuple[str, str]] = []
     out: list[str] = []
     lines = masked.split("\n")
@@ -146,7 +164,7 @@ def parse(text: str) -> tuple[list[tuple[str, str]], bool, str, list[str]]:
             whole = HELD.sub(lambda m: held[int(m[2])], "\n".join(block))
             found.append(("code_block", whole))
             held.append(whole)
-            out.append(f"{CODE}{len(held) - 1}{END}")
+            out.append(f"{ELEMENT}{len(found) - 1}{END}{CODE}{len(held) - 1}{END}")
             block = None
 
     for i, line in enumerate(lines):
@@ -158,7 +176,7 @@ def parse(text: str) -> tuple[list[tuple[str, str]], bool, str, list[str]]:
         if block is not None and not bare and i + 1 < len(lines) and indented.match(lines[i + 1]):
             continue
         close()
-        kind, inner = None, line
+        kind, inner, before_line = None, line, len(found)
         if not bare:
             pass
         elif m := WIKI_HEADING.match(line):
@@ -183,21 +201,26 @@ def parse(text: str) -> tuple[list[tuple[str, str]], bool, str, list[str]]:
             inner = r.sub(lambda m: f"\n# {m['t']}\n", inner)
         for r in (HTML_ITEM, TEX_ITEM):
             inner = r.sub("\n- ", inner)
-        out.append({"heading": "# ", "list_item": "- "}.get(kind, "") + inner)
+        marks = "".join(f"{ELEMENT}{k}{END}" for k in range(before_line, len(found)))
+        out.append(marks + {"heading": "# ", "list_item": "- "}.get(kind, "") + inner)
     close()
     marked = gone or bool(found) or bool(held) or bool(ANY.search(masked)) or any(RULE.match(x) for x in lines)
     return found, marked, "\n".join(out), held
 
 
+def _marks(m: re.Match) -> str:
+    return "".join(x[0] for x in MARKED.finditer(m[0]))
+
+
 def strip(t: str) -> str:
-    """A text in the form that parse gives, without markup of words and without tables and templates."""
+    """A text in the form that parse gives, without markup of words and without tables and templates, whose marks stay."""
     for _ in range(8):
-        new = re.sub(r"\{\{[^{}]*\}\}|\{\|(?:(?!\{\|).)*?^[ \t]*\|\}", "", t, flags=re.S | re.M)
+        new = re.sub(r"\{\{[^{}]*\}\}|\{\|(?:(?!\{\|).)*?^[ \t]*\|\}", _marks, t, flags=re.S | re.M)
         if new == t:
             break
         t = new
-    t = re.sub(r"\[\[(?:Datei|Bild|Fichier|File|Image|Archivo|Файл|Αρχείο|Kategorie|Category|Catégorie|Categoría|Категория):[^\[\]]*(?:\[\[[^\[\]]*\]\][^\[\]]*)*\]\]", "", t, flags=re.I)
-    t = re.sub(r"<ref\b[^>]*/>|<ref\b[^>]*>.*?</ref\s*>|<gallery\b[^>]*>.*?</gallery\s*>", "", t, flags=re.S | re.I)
+    t = re.sub(r"\[\[(?:Datei|Bild|Fichier|File|Image|Archivo|Файл|Αρχείο|Kategorie|Category|Catégorie|Categoría|Категория):[^\[\]]*(?:\[\[[^\[\]]*\]\][^\[\]]*)*\]\]", _marks, t, flags=re.I)
+    t = re.sub(r"<ref\b[^>]*/>|<ref\b[^>]*>.*?</ref\s*>|<gallery\b[^>]*>.*?</gallery\s*>", _marks, t, flags=re.S | re.I)
     t = re.sub(r"\[\[(?:[^|\[\]]*\|)?([^|\[\]]*)\]\]", r"\1", t)
     t = re.sub(r"\[(?:https?:)?//[^\s\]]+[ \t]*([^\]\n]*)\]", r"\1", t)
     t = re.sub(r"!\[[^\[\]\n]*\]\([^)\s]*\)", "", t)
@@ -207,7 +230,7 @@ def strip(t: str) -> str:
     t = re.sub(r"'{2,5}|__[A-Z]{3,}__", "", t)
     t = re.sub(r"(?<![\w*\\])(\*{1,3})(?=[^\s*])([^*\n]*?)(?<=[^\s*(])\1(?![\w*])", r"\2", t)
     t = re.sub(r"~~([^\s~][^~\n]*)~~", r"\1", t)
-    t = re.sub(r"\\begin\{tabular\}.*?\\end\{tabular\}", "", t, flags=re.S)
+    t = re.sub(r"\\begin\{tabular\}.*?\\end\{tabular\}", _marks, t, flags=re.S)
     t = re.sub(r"\\(?:includegraphics|label|ref|cite|pageref|documentclass|usepackage|begin|end|newpage|clearpage|vspace|hspace)(?![a-zA-Z])\*?(?:\[[^\]]*\])*(?:\{[^{}]*\})*", "", t)
     t = re.sub(r"\\href\{[^{}]*\}\{([^{}]*)\}", r"\1", t)
     for _ in range(4):
@@ -232,32 +255,65 @@ def _shown(mark: str, raw: str) -> str:
     return html.unescape(re.sub(r"^<[a-z]+\b[^>]*>|</[a-z]+\s*>$|^`+|`+$|^\\(?:verb|lstinline)\*?.|[|!+@]$", "", raw, flags=re.I))
 
 
-def clean(text: str, window: int = 3, least: int = 30) -> tuple[list[tuple[str, str]], bool, str]:
-    """Elements, whether there is any markup, and the kept text by line-block distribution.
+WIDE = re.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Hangul}]")
+
 
-    A block opens where the sum of bare line lengths over `window` lines
-    surges above `least` and closes where it dives to nothing; texts that
-    never surge are kept whole, and so are elements wherever they stand.
+def turning_point(sums: list[int]) -> float:
+    """The sum that parts the short from the long ones: the cut of their logarithms with the greatest variance between its sides.
+
+    0, so that nothing is short, where the sides are not at least four times apart.
     """
-    found, marked, shown, held = parse(text)
-    lines = strip(shown).split("\n")
-    sizes = [len(x.strip()) for x in lines]
+    logs = np.sort(np.log([x for x in sums if x > 0]))
+    if len(logs) < 2:
+        return 0.0
+    n = np.arange(1, len(logs))
+    low = np.cumsum(logs)[:-1]
+    gap = (logs.sum() - low) / (len(logs) - n) - low / n
+    at = int(np.argmax(n * (len(logs) - n) * gap**2))
+    return float(np.exp((logs[at] + logs[at + 1]) / 2)) if gap[at] >= np.log(4) else 0.0
+
+
+def blocks(lines: list[str], anchors: list[bool], window: int = 3) -> list[bool]:
+    """Which bare lines are kept by the distribution of their lengths.
+
+    A block surges at a line that carries its share of a window's sum above
+    the turning point, or ends as a sentence does, and dives where the sum
+    falls under half of that; lines on which the last one goes on without a
+    blank line are its own. A single line between two blocks is no dive.
+    Anchors are kept and, as parts of the text, no short lines.
+    """
+    sizes = [len(x.strip()) + len(WIDE.findall(x)) for x in lines]
     sums = [sum(sizes[i : i + window]) for i in range(len(sizes))]
-    keep = [x.startswith(("# ", "- ")) or bool(HELD.search(x)) for x in lines]
-    i, opened = 0, False
+    least = turning_point([s for s, x, a in zip(sums, sizes, anchors) if x and not a])
+    keep = list(anchors)
+    i = 0
     while i < len(sums):
-        if sums[i] > least:  # surge
-            opened = True
-            while i < len(sums) and sums[i] > 0:  # until the dive
-                keep[i] = True
-                i += 1
-        else:
+        tells = sizes[i] > 0 and (sums[i] > least and sizes[i] * window > least or SENTENCE_END.search(lines[i]))
+        if not tells:
+            i += 1
+            continue
+        keep[i] = True
+        i += 1
+        while i < len(sums) and (sums[i] > least / 2 and (sizes[i] == 0 or sizes[i] * window > least) or sizes[i] and sizes[i - 1]):
+            keep[i] = True
             i += 1
-    if not opened:
-        keep = [True] * len(lines)
+    text = [k for k, x in enumerate(sizes) if x or anchors[k]]
+    for a, b, c in zip(text, text[1:], text[2:]):
+        if keep[a] and keep[c] and not (anchors[a] and anchors[c]):
+            keep[b] = True
+    return keep if any(keep) else [True] * len(lines)
+
+
+def clean(text: str, window: int = 3) -> tuple[list[tuple[str, str]], bool, str]:
+    """Elements, whether there is any markup, and the clean text, all of the lines that the distribution keeps."""
+    found, marked, shown, held = parse(text)
+    lines = strip(shown).split("\n")
+    elements = [[int(m[1]) for m in MARKED.finditer(x)] for x in lines]
+    lines = [MARKED.sub("", x) for x in lines]
+    keep = blocks([HELD.sub("", x) for x in lines], [bool(e) or x.startswith(("# ", "- ")) or bool(HELD.search(x)) for e, x in zip(elements, lines)], window)
     body = "\n".join(x for x, k in zip(lines, keep) if k or not x)
     body = HELD.sub(lambda m: _shown(m[1], held[int(m[2])]), body)
-    return found, marked, re.sub(r"\n{3,}", "\n\n", body).strip()
+    return [found[i] for e, k in zip(elements, keep) if k for i in e], marked, re.sub(r"\n{3,}", "\n\n", body).strip()
 
 
 ELEMENTS = "page_id long, unit_kind string, unit_seq long"
@@ -290,17 +346,12 @@ def _cleaned(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["page_id", "title", "has_markup", *(f"n_{k}" for k in KINDS), "clean_text"])
 
 
-def markup_elements(text: DataFrame, page: DataFrame | None = None) -> DataFrame:
-    """page_id, unit_kind, unit_seq: (`any`, 0) for texts with markup, and each element.
+def markup_elements(text: DataFrame) -> DataFrame:
+    """page_id, unit_kind, unit_seq: (`any`, 0) for texts with markup, and each element of the kept blocks.
 
-    Pages whose content model is `text` are free of markup by definition and
-    are left out if page is given. Null and blank texts have no markup;
-    repeated rows count once.
+    Null and blank texts have no markup; repeated rows count once.
     """
     rows = text.select("page_id", "text").where("trim(text) <> ''").distinct()
-    if page is not None:
-        plain = page.where("page_content_model = 'text' and page_id is not null").select("page_id").distinct()
-        rows = rows.join(plain, "page_id", "left_anti")
     return rows.mapInPandas(_elements, ELEMENTS).distinct()
 
 

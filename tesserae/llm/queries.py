@@ -33,7 +33,7 @@ def p2_units(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return markup.markup_elements(table(spark, d, "text"), table(spark, d, "page"))
+    return markup.markup_elements(table(spark, d, "text"))
 
 
 def p3_clean(spark: SparkSession, d: str) -> DataFrame:

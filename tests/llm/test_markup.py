@@ -52,10 +52,9 @@ def test_any_text_is_read(text):
 
 def test_tables(spark):
     text = spark.createDataFrame([(1, "A", "== x ==\n* y", 5), (1, "A", "== x ==\n* y", 6), (2, "B", None, 5), (3, "C", " ", 5), (4, "D", "<b>x</b>", 5), (5, "E", "* a", 5), (None, "F", "* a", 5)], "page_id long, title string, text string, unit_seq int")
-    page = spark.createDataFrame([(4, "text"), (1, "wikitext")], "page_id long, page_content_model string")
-    got = {tuple(r) for r in m.markup_elements(text, page).collect()}
-    assert got == {(1, "any", 0), (1, "heading", 1), (1, "list_item", 1), (5, "any", 0), (5, "list_item", 1), (None, "any", 0), (None, "list_item", 1)}
-    assert m.markup_elements(text.limit(0), page).collect() == []
+    got = {tuple(r) for r in m.markup_elements(text).collect()}
+    assert got == {(4, "any", 0), (1, "any", 0), (1, "heading", 1), (1, "list_item", 1), (5, "any", 0), (5, "list_item", 1), (None, "any", 0), (None, "list_item", 1)}
+    assert m.markup_elements(text.limit(0)).collect() == []
     rows = {r["page_id"]: r for r in m.cleaned_texts(text).collect()}
     assert rows[2]["clean_text"] == "" and rows[1]["clean_text"] == "# x\n- y" and m.cleaned_texts(text).count() == 6
 
@@ -68,3 +67,44 @@ def test_elements_come_from_the_distribution(monkeypatch):
     assert seen == texts
     for i, (_, want) in enumerate(CASES):
         assert Counter(rows[rows["page_id"] == i]["unit_kind"]) == Counter(want) + Counter(["any"])
+
+
+PROSE = "The survey of the old harbour was finished in the autumn of 1903, when the last of the warehouses had been measured."
+NAVIGATION = ["Home", "About us", "Log in", "Contact", "Sitemap"]
+
+
+@pytest.mark.parametrize("join", ["\n", "\n\n"])
+@pytest.mark.parametrize("prose", [PROSE, "旧港的调查于一九〇三年秋天结束，当时最后一批仓库已经测量完毕，码头也已经修好。"])
+def test_boilerplate_goes_and_prose_stays(join, prose):
+    text = join.join(NAVIGATION) + "\n\n== History ==\n" + "\n".join([prose] * 4) + "\nIt was sold.\n\n" + prose + "\n\nShort one.\n\n" + prose + "\n\n" + join.join(["Imprint", "Privacy", "Top"]) + "\n\n* " + "item"
+    found, marked, body = m.clean(text)
+    assert [k for k, _ in found] == ["heading", "list_item"] and marked
+    for gone in (*NAVIGATION, "Imprint", "Privacy", "Top"):
+        assert gone not in body.split("\n"), gone
+    for stays in ("# History", prose, "It was sold.", "Short one.", "- item"):
+        assert stays in body.split("\n"), stays
+    assert body.split("\n").count(prose) == 6
+
+
+def test_even_texts_are_kept_whole():
+    for text in ("Eins\nZwei\nDrei", "Ein Satz.\n\nNoch ein Satz steht hier.", "x"):
+        assert m.clean(text)[2] == text
+
+
+def test_elements_within_templates_and_tables_count():
+    found, _, body = m.clean("{{Box|\n* Eins\n* Zwei\n}}\n{| class=x\n|-\n|\n* Drei\n|}\nEin Satz.")
+    assert [k for k, _ in found] == ["list_item"] * 3 and body.endswith("Ein Satz.")
+
+
+@pytest.mark.parametrize("unit", ["\\[ ", "\\( ", "<code> ", "<tt> ", "<pre ", "\\verb|", "`", "$$ ", "$x ", "{{", "[[", "<!"])
+def test_unclosed_openings_take_time_in_proportion(unit):
+    import time
+
+    m.clean(unit * 10)
+    spent = []
+    for n in (1_000, 4_000):
+        text = "\n".join(["Ein Wort " + unit] * n)
+        began = time.perf_counter()
+        m.clean(text)
+        spent.append(time.perf_counter() - began)
+    assert spent[1] < 9 * spent[0] + 0.5, spent
