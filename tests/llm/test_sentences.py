@@ -18,6 +18,16 @@ TEXTS = [
     ("hi", "|डॉ. तारा ने लिखा। |क्या पुल थे? |हिस्सा 22.3 प्रतिशत बढ़ा।"),
     ("ar", "|كتب د. نجم عن الجسور. |هل كانت الخرائط؟ |ارتفعت النسبة بمقدار 60.1 في المئة!"),
     ("th", "|ในปี 1911 ชาวเมืองได้สร้างสวน |ระยะทางประมาณ 40.6 กิโลเมตร"),
+    ("it", "|Il sig. Rossi e la dott.ssa Bini vivono a pag. 3. |Nel 44 a.C. morì Cesare. |Comprò mele, pere ecc. |Poi partì."),
+    ("pt", "|O Sr. Silva e a Dra. Lima viram a pág. 4. |Vieram no séc. XV. |Havia pontes, torres etc. |Depois partiu."),
+    ("pl", "|Prof. dr hab. Nowak mieszka przy ul. Długiej. |Zmarł w 1990 r. |Potem był m.in. Jan itd. |Koniec."),
+    ("nl", "|Dhr. Jansen en mevr. Smit zagen o.a. Kees. |Er waren bruggen, torens enz. |Daarna kwam drs. Bos."),
+    ("ko", "|학교는 1990. 3. 5. 문을 열었다. |학생이 많았다! |Dr. 김은 떠났다."),
+    ("my", "|ကျောင်းသည်ကြီးသည်။ |မြို့သည်ဟောင်းသည်။|သူသွားသည်။"),
+    ("km", "|សាលាធំ។ |ទីក្រុងចាស់។ |គាត់ទៅ។"),
+    ("bo", "|སློབ་གྲྭ་ཆེན་པོ་ཡིན། |གྲོང་ཁྱེར་རྙིང་པ་ཡིན། |ཁོ་ཕྱིན་སོང་།"),
+    ("am", "|ትምህርት ቤቱ ትልቅ ነው። |ማን ሄደ፧ |እሱ ሄደ።"),
+    ("hy", "|Դպրոցը մեծ է։ |Քաղաքը հին է։ |Նա գնաց։"),
 ]
 
 
@@ -61,3 +71,34 @@ def test_tables(spark):
     assert got == {("text", 1, 0, 5), ("text", 1, 5, 9), ("tagged", 1, 0, 2), ("tagged", 1, 2, 3), ("tagged", 5, 0, 1)}
     assert m.sentence_units(text.limit(0), tagged.limit(0), page.limit(0)).collect() == []
     assert m.text_units(text, page, plain_only=False).where("page_id = 2").count() == 2
+
+
+@pytest.mark.parametrize("lang, text, want", [
+    ("en", "I drank some c. Then more.", [0, 16]), ("fr", "Il cite c. Puis il part.", [0]), ("en", "It was o. Then u. Then z. Then d.", [0, 10, 18, 26]), ("de", "Höfe o. Ä. gab es u. a. dort.", [0]),
+    (None, "Il cite c. Puis il part.", [0]), ("ru", "Группа пришла. Mr. Dab came.", [0, 15]), ("en", "Prof. A. D. Dab led it. In 40 A.D. Then it fell.", [0, 24, 35]),
+])
+def test_only_the_pages_language_is_asked(lang, text, want):
+    assert m.boundaries(text, lang) == want
+
+
+def test_decisions_do_not_hang_on_lengths():
+    blanks = " " * 300
+    assert m.boundaries(f"Er kam z.{blanks}B.{blanks}Heute. Dann ging er.", "de") == [0, 618]
+    for n in (10, 1000):
+        name = "X" + "a" * n
+        assert m.boundaries(f"Ποιος έχτισε {name}; Η πόλη.", "el") == [0, 15 + len(name)]
+        assert m.boundaries("ชาวเมืองได้สร้าง " + name + " สวน", "th") == [0]
+        assert m.boundaries("「庭園を守ろう。」" + "x" * n + "と述べた。次。", "ja") == [0, 14 + n]
+    assert m.boundaries("1" + " " * 200 + "B. Ab. Cd.", "de")[0] == 0
+
+
+def test_many_places_that_do_not_break_take_time_in_proportion():
+    import time
+
+    spent = []
+    for n in (5_000, 20_000):
+        text = "Er kam vgl. " * n
+        began = time.perf_counter()
+        assert m.boundaries(text, "de") == [0]
+        spent.append(time.perf_counter() - began)
+    assert spent[1] < 8 * spent[0] + 0.5
