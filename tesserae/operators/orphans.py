@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from tesserae.functions.titles import title_key
 from tesserae.operators.skew import skew_lookup
+from tesserae.session import materialize
 
 
-def find_orphans(refs: DataFrame, parents: DataFrame, max_hot: int = 256, salts: int = 32) -> DataFrame:
+def find_orphans(refs: DataFrame, parents: DataFrame, **skew: int) -> DataFrame:
     """References whose key is missing, deleted or loaded only later.
 
     refs: ref_table, ref_field, ref_id, ref_value, space, key, ref_ts.
@@ -16,16 +17,18 @@ def find_orphans(refs: DataFrame, parents: DataFrame, max_hot: int = 256, salts:
 
     Parent and child keys are united in long form, tagged, and grouped by
     (space, key), both pre-aggregated; groups lacking the parent flag are
-    missing. The verdicts, one a key, are looked up by the references with hot
-    keys salted. References with a null key refer to nothing and give no row;
-    repeated references give one row per month and kind; empty inputs give no
-    rows; a null ref_ts is never late and has the month null.
+    missing. The references are written once and read for the keys, for the hot
+    ones among them and for the verdicts (skew: options of skew_lookup), which,
+    one a key, are looked up with hot keys salted. References with a null key
+    refer to nothing and give no row; repeated references give one row per month
+    and kind; empty inputs give no rows; a null ref_ts is never late and has the
+    month null.
     """
-    refs = refs.select("ref_table", "ref_field", "ref_id", "ref_value", "space", "key", "ref_ts")
-    tagged = refs.where("key is not null").select("space", "key").groupBy("space", "key").agg(F.lit(False).alias("is_parent"), F.lit(None).cast("boolean").alias("live"), F.lit(None).cast(parents.schema["first_ts"].dataType).alias("first_ts"))
+    refs = materialize(refs.where("key is not null").select("ref_table", "ref_field", "ref_id", "ref_value", "space", "key", "ref_ts").distinct(), "references")
+    tagged = refs.select("space", "key").groupBy("space", "key").agg(F.lit(False).alias("is_parent"), F.lit(None).cast("boolean").alias("live"), F.lit(None).cast(parents.schema["first_ts"].dataType).alias("first_ts"))
     owners = parents.where("key is not null").groupBy("space", "key").agg(F.lit(True).alias("is_parent"), F.max("live").alias("live"), F.coalesce(F.min(F.when(F.col("live"), F.col("first_ts"))), F.min("first_ts")).alias("first_ts"))
     verdicts = tagged.unionByName(owners).groupBy("space", "key").agg(F.max("is_parent").alias("has_parent"), F.max("live").alias("live"), F.min("first_ts").alias("first_ts"), F.min("is_parent").alias("all_parent")).where("not all_parent").drop("all_parent")
-    joined = skew_lookup(refs.where("key is not null").distinct(), verdicts, ["space", "key"], "inner", max_hot, salts)
+    joined = skew_lookup(refs, verdicts, ["space", "key"], "inner", **skew)
     kind = F.when(~F.col("has_parent"), "missing").when(~F.col("live"), "deleted").when(F.col("first_ts") > F.col("ref_ts"), "late")
     month = F.substring(F.col("ref_ts").cast("string"), 1, 7)
     return joined.select("ref_table", "ref_field", "ref_id", "ref_value", kind.alias("miss_kind"), month.alias("ref_month")).where("miss_kind is not null").distinct()

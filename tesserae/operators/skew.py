@@ -2,30 +2,38 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, functions as F
 
 
-def skew_lookup(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", max_hot: int = 256, salts: int = 32, least: int = 20_000) -> DataFrame:
-    """left joined to right, whose keys are unique, with hot keys of left salted.
+def skew_lookup(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", max_hot: int = 65_536, least: int = 50_000) -> DataFrame:
+    """left joined to right, whose keys are unique, with hot keys of left salted; how is left or inner.
 
-    A key is hot if it holds more than both `least` rows and a 1/max_hot share
-    of left; so there are at most max_hot of them and their list may be
-    broadcast. Rows of a hot key get one of `salts` salts, and only the hot
-    rows of right are repeated per salt. Null keys never match and are not
-    shuffled to one place either: they get a random-looking salt of the row.
+    A key is hot if it holds more than `least` rows, or at 10^10 rows and more
+    than a 1/max_hot share of them: so no task gets much more than that of a
+    key, and at most max_hot keys are listed, which bounds what is broadcast.
+    A hot key's rows get one of as many salts as make shares of about that
+    size, and only its row of right is repeated per salt. Null keys never
+    match: they take no part in the join, and a left join keeps their rows.
     """
+    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    whole, left = left, left.where(present)
     seen = Observation()
     counted = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).observe(seen, F.sum("_n").alias("total"))
     top = counted.where(F.col("_n") > least).orderBy(F.desc("_n")).limit(max_hot).collect()  # one pass gives the total as well
-    hot = [r for r in top if r["_n"] > seen.get["total"] // max_hot] if top else []
-    if not hot:
-        return left.join(right, keys, how)
-    schema = left.select(*keys).schema
-    names = left.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in hot if all(r[k] is not None for k in keys)] or [], schema).withColumn("_hot", F.lit(True))
-    flagged = left.join(F.broadcast(names), keys, "left")
-    missing = F.lit(False)
-    for k in keys:
-        missing = missing | F.col(k).isNull()
-    salt = F.when(F.col("_hot") | missing, F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")).otherwise(0)
-    spread = right.join(F.broadcast(names), keys, "left").withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))).drop("_hot")
-    return flagged.withColumn("_salt", salt).drop("_hot").join(spread, [*keys, "_salt"], how).drop("_salt")
+    most = max(least, seen.get["total"] // max_hot) if top else least
+    hot = [(*[r[k] for k in keys], -(-r["_n"] // most)) for r in top if r["_n"] > most]
+    if hot:
+        names = left.sparkSession.createDataFrame(hot, left.select(*keys).schema.add("_salts", "long"))
+        last = F.coalesce(F.col("_salts"), F.lit(1)) - 1
+        spread = right.join(F.broadcast(names), keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), last))).drop("_salts")
+        salt = F.when(F.col("_salts").isNull(), F.lit(0).cast("long")).otherwise(F.pmod(F.xxhash64(*left.columns), F.col("_salts")))
+        joined = left.join(F.broadcast(names), keys, "left").withColumn("_salt", salt).drop("_salts").join(spread, [*keys, "_salt"], how).drop("_salt")
+    else:
+        joined = left.join(right, keys, how)
+    if how != "left":
+        return joined
+    rest = whole.where(~present)
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name not in keys]
+    return joined.unionByName(rest.select("*", *nothing))

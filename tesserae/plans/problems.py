@@ -81,7 +81,7 @@ below AS (SELECT r.anc AS node, count(*) AS n FROM state s JOIN reach r ON r.nod
 SELECT s.node AS page_id, s.parent AS parent_id, s.root_id, CAST(s.depth AS INTEGER) AS depth, p.path,
   CASE WHEN s.node_state = 'cycle' THEN z.n - 1 ELSE coalesce(b.n, 0) END AS n_descendants, s.node_state
 FROM state s JOIN steps p USING (node) JOIN size z USING (root_id) LEFT JOIN below b ON b.node = s.node""",
-    "p4_descendants": f"WITH RECURSIVE {_NODES} SELECT r.anc AS ancestor_id, s.node AS descendant_id, CAST(r.dist AS INTEGER) AS distance FROM state s JOIN reach r ON r.node = s.node AND r.dist <= s.depth AND r.dist > 0",
+    "p4_descendants": f"WITH RECURSIVE {_NODES} SELECT r.anc AS ancestor_id, s.node AS descendant_id, CAST(r.dist AS INTEGER) AS distance FROM state s JOIN reach r ON r.node = s.node AND r.anc <> s.node",
     "p6_found": f"WITH {_LONG} SELECT * FROM judged WHERE miss_kind IS NOT NULL",
     "p6_counts": f"WITH {_LONG} SELECT ref_table, ref_field, miss_kind, ref_month, count(*) AS n_refs, count(DISTINCT ref_value) AS n_targets FROM judged WHERE miss_kind IS NOT NULL GROUP BY ALL",
 }

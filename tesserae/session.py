@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 
 def local_session(cpus: int = 8, shuffle_partitions: int = 8, app: str = "tesserae") -> SparkSession:
@@ -63,21 +63,31 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass  # the session is gone; the folder's owner clears it
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, **sums: Column) -> DataFrame:
     """Cut the lineage by a written table in the shared folder.
 
     The files outlive any executor, unlike cached blocks; they are removed when
-    the driver's Python ends, or before by drop_materialized.
+    the driver's Python ends, or before by drop_materialized. sums are taken
+    as the rows are written, without a job of their own: see written_sums.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    seen = Observation()
+    if sums:
+        df = df.observe(seen, *[F.coalesce(F.sum(c.cast("long")), F.lit(0)).alias(k) for k, c in sums.items()])
     df.write.parquet(path)
     atexit.register(_remove, spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tesserae_path = path
+    out._tesserae_sums = seen.get if sums else {}
     return out
 
 
+def written_sums(df: DataFrame) -> dict[str, int]:
+    """The sums that materialize took of a table's rows."""
+    return df._tesserae_sums
+
+
 def drop_materialized(*frames: DataFrame) -> None:
     """Delete tables of materialize that no later plan reads."""
     for df in frames:

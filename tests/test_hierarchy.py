@@ -28,7 +28,7 @@ def tree(spark, parent, **options):
     return {r["node"]: r for r in h.hierarchy(df, **options).collect()}
 
 
-@pytest.mark.parametrize("most", [200_000, 3])
+@pytest.mark.parametrize("most", [8_000_000, 30, 3])
 def test_random_forests_with_cycles(spark, most):
     rng = random.Random(5)
     parent = {n: rng.choice([None, *range(60)]) if rng.random() < 0.9 else None for n in range(60)}
@@ -43,12 +43,28 @@ def test_random_forests_with_cycles(spark, most):
         assert r["n_descendants"] == len(below)
 
 
-@pytest.mark.parametrize("most", [200_000, 3])
+@pytest.mark.parametrize("most", [8_000_000, 3])
 def test_states_without_paths(spark, most):
     parent = {1: None, 2: 1, 3: 2, 4: 5, 5: 6, 6: 7, 7: 4, 8: 7, 9: 8, 10: 10} | {n: n - 1 for n in range(21, 260)} | {20: None}
     got, want = tree(spark, parent, most=most, paths=False), brute(parent)
     assert {n: (r["root_id"], r["node_state"]) for n, r in got.items()} == {n: x[:2] for n, x in want.items()}
-    assert all(r["path"] is None for r in got.values())
+    assert {n: r["depth"] for n, r in got.items()} == {n: x[2] for n, x in want.items()}
+    assert all("path" not in r for r in got.values())
+
+
+def test_long_chain(spark):
+    """Its paths would hold 4.5 * 10^10 nodes: a task gets a part of it."""
+    df = spark.range(1, 300_001).select(F.col("id").alias("node"), F.when(F.col("id") > 1, F.col("id") - 1).alias("parent"))
+    got = h.hierarchy(df, paths=False)
+    bad = got.where("root_id <> 1 or depth <> node - 1 or n_descendants <> 300000 - node or node_state <> 'tree' or not (parent <=> nullif(node - 1, 0))")
+    assert got.count() == 300_000 and bad.count() == 0
+
+
+def test_star(spark):
+    df = spark.range(0, 50_000).select(F.col("id").alias("node"), F.when(F.col("id") > 0, F.lit(0)).alias("parent"))
+    got = h.hierarchy(df, most=1_000)
+    assert got.count() == 50_000 and got.where("node > 0 and (depth <> 1 or path <> array(0L, node) or n_descendants <> 0)").count() == 0
+    assert got.where("node = 0").collect()[0]["n_descendants"] == 49_999
 
 
 def test_dirty_nodes(spark):
@@ -70,7 +86,7 @@ def test_descendants(spark):
     assert {tuple(r) for r in h.descendants(h.hierarchy(df)).collect()} == {(1, 2, 1), (1, 3, 2), (2, 3, 1)}
 
 
-@pytest.mark.parametrize("most, options", [(200_000, {}), (3, {"together": 5})])
+@pytest.mark.parametrize("most, options", [(8_000_000, {}), (3, {"together": 5})])
 def test_descendants_around_cycles(spark, most, options):
     parent = {1: None, 2: 1, 3: 2, 10: 11, 11: 12, 12: 13, 13: 10, 14: 12, 15: 14, 16: 10, 20: 20, 21: 20, 30: 31, 31: 30, 32: 31}
     parent |= {n: n + 1 for n in range(100, 111)} | {111: 100}
@@ -92,7 +108,7 @@ def test_descendants_around_cycles(spark, most, options):
 def test_skewed_lookup_keeps_every_row(spark):
     left = spark.range(9_000).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k"), "id")
     right = spark.createDataFrame([("hot", 1), ("1", 2), (None, 3), ("none", 4)], "k string, v int")
-    got = skew_lookup(left, right, ["k"], "left", max_hot=8, salts=4, least=100)
+    got = skew_lookup(left, right, ["k"], "left", least=100)
     assert sorted(got.columns) == ["id", "k", "v"] and got.count() == 9_000
     assert got.where("v = 1").count() == 3_000 and got.where("v = 2").count() == 1 and got.where("v > 2").count() == 0
-    assert skew_lookup(left, right, ["k"], "inner", max_hot=8, salts=4, least=100).count() == 3_001
+    assert skew_lookup(left, right, ["k"], "inner", least=100).count() == 3_001

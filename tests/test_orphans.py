@@ -38,7 +38,7 @@ def test_empty_tables(spark):
 def test_hot_missing_key(spark):
     page, redirect, _ = tables(spark)
     refs = o.page_references(spark.range(3_000).selectExpr("id rd_from", "0 rd_namespace", "if(id % 3 = 0, 'Weg', concat('T', id)) rd_title", "timestamp_ntz'2024-01-05' loaded_at"), spark.createDataFrame([], "page_id long, link_titles string, loaded_at timestamp_ntz")).where("ref_field = 'rd_title'")
-    assert o.find_orphans(refs, o.page_parents(page), max_hot=4, salts=4).count() == 3_000
+    assert o.find_orphans(refs, o.page_parents(page), least=100).count() == 3_000
 
 
 def test_title_key(spark):
