@@ -31,7 +31,7 @@ def components(nodes: DataFrame) -> DataFrame:
     left, image = written_sums(state)["left"], -1
     while left:
         step = state.select(F.col("node").alias("ptr"), F.col("ptr").alias("next"), F.col("depth").alias("more"), F.col("least").alias("other"), F.col("done").alias("end"))
-        moved = skew_lookup(state.where("not done").select("node", "parent", "ptr", "depth", "least"), step, ["ptr"], "inner")
+        moved = skew_lookup(state.where("not done").select("node", "parent", "ptr", "depth", "least"), step, ["ptr"], "inner", rows=left)
         moved = moved.select("node", "parent", F.col("next").alias("ptr"), (F.col("depth") + F.col("more")).alias("depth"), F.least("least", "other").alias("least"), F.col("end").alias("done"), (F.col("other") < F.col("least")).alias("changed"))
         after = materialize(state.where("done").unionByName(moved), "doubling", left=~F.col("done"), changed=F.col("changed") & ~F.col("done"))
         drop_materialized(state)
@@ -48,7 +48,7 @@ def components(nodes: DataFrame) -> DataFrame:
     members = loops.select(F.col("ptr").alias("node")).distinct().withColumn("member", F.lit(True))
     loops = loops.select("node", "parent", "ptr", "least").join(members, "node", "left")
     comps = loops.where("member").select(F.col("node").alias("ptr"), F.col("least").alias("comp"))
-    loops = skew_lookup(loops, comps, ["ptr"], "inner").select("node", "parent", "comp", F.coalesce("member", F.lit(False)).alias("on_ring"), F.lit(None).cast("int").alias("depth"))
+    loops = skew_lookup(loops, comps, ["ptr"], "inner", rows=left).select("node", "parent", "comp", F.coalesce("member", F.lit(False)).alias("on_ring"), F.lit(None).cast("int").alias("depth"))
     return trees.unionByName(loops)
 
 
@@ -144,7 +144,7 @@ def subtrees(forest: DataFrame) -> DataFrame:
     while written_sums(state)["left"]:
         gain = state.where("ptr is not null").groupBy(F.col("ptr").alias("node")).agg(F.sum("size").alias("more"), F.sum("weight").alias("heavier"))
         step = state.select(F.col("node").alias("ptr"), F.col("ptr").alias("next"), F.col("depth").alias("above"))
-        moved = skew_lookup(state, step, ["ptr"], "left").join(gain, "node", "left")
+        moved = skew_lookup(state, step, ["ptr"], "left", rows=written_sums(state)["left"]).join(gain, "node", "left")
         more = F.coalesce("more", F.lit(0))
         state_next = materialize(moved.select("node", F.col("next").alias("ptr"), F.when(has, F.lit(reach) + F.col("above")).otherwise(F.col("depth")).cast("int").alias("depth"), (F.col("size") + more).alias("size"), (F.col("weight") + F.coalesce("heavier", F.lit(0)) + more * reach).alias("weight")), "subtrees", left=has)
         drop_materialized(state)
@@ -157,7 +157,7 @@ def _heads(light: DataFrame) -> DataFrame:
     state = materialize(light.select("node", F.coalesce("up", "node").alias("ptr"), F.col("up").isNull().alias("done")), "heads", left=~F.col("done"))
     while written_sums(state)["left"]:
         step = state.select(F.col("node").alias("ptr"), F.col("ptr").alias("next"), F.col("done").alias("end"))
-        moved = skew_lookup(state.where("not done").select("node", "ptr"), step, ["ptr"], "inner").select("node", F.col("next").alias("ptr"), F.col("end").alias("done"))
+        moved = skew_lookup(state.where("not done").select("node", "ptr"), step, ["ptr"], "inner", rows=written_sums(state)["left"]).select("node", F.col("next").alias("ptr"), F.col("end").alias("done"))
         after = materialize(state.where("done").unionByName(moved), "heads", left=~F.col("done"))
         drop_materialized(state)
         state = after
@@ -214,15 +214,16 @@ def hierarchy(nodes: DataFrame, most: int = 8_000_000, together: int = 1_000_000
     smallest counts; null nodes are dropped; an empty table gives no rows.
     """
     own = nodes.select("node", "parent").where("node is not null").groupBy("node").agg(F.min("parent").alias("parent"))
-    own = materialize(own, "nodes")
+    own = materialize(own, "nodes", n=F.lit(1))
+    count = written_sums(own)["n"]
     known = own.select(F.col("node").alias("parent"), F.lit(True).alias("known"))
-    own = skew_lookup(own, known, ["parent"], "left").select("node", F.when(F.col("known"), F.col("parent")).alias("parent"))
+    own = skew_lookup(own, known, ["parent"], "left", rows=count).select("node", F.when(F.col("known"), F.col("parent")).alias("parent"))
     comp = materialize(components(own), "components")
     n = F.count(F.lit(1))
     sizes = comp.groupBy("comp").agg(n.alias("n"), F.bool_or("on_ring").alias("looped"), F.coalesce(F.sum(F.col("depth") + 1), n * (n + 1) / 2).cast("long").alias("weight"))
     heavy = F.col("weight") > most
     sizes = materialize(sizes, "sizes", heavy=heavy, total=F.when(~heavy, F.col("weight")))
-    whole = skew_lookup(comp, sizes, ["comp"], "inner")
+    whole = skew_lookup(comp, sizes, ["comp"], "inner", rows=count)
     none = F.lit(None).cast("long")
     walk = whole.where(~heavy).select("node", F.col("parent").alias("up"), "comp", F.col("comp").alias("fragment"), none.alias("hook"), F.lit(0).alias("base"), F.lit(False).alias("looped"))
     total, rest = written_sums(sizes)["total"], None
@@ -252,8 +253,8 @@ def category_nodes(page: DataFrame, categorylinks: DataFrame) -> DataFrame:
     ids = cats.select(F.col("page_id").alias("node")).distinct()
     by_title = cats.where("key is not null").groupBy("key").agg(F.min("page_id").alias("parent"))
     links = categorylinks.where("cl_from is not null and cl_to is not null").select(F.col("cl_from").alias("node"), title_key(F.col("cl_to"), category=True).alias("key"))
-    child = materialize(links.join(ids, "node", "left_semi").where("key is not null").distinct(), "children")
-    linked = skew_lookup(child, by_title, ["key"], "inner").groupBy("node").agg(F.min("parent").alias("parent"))
+    child = materialize(links.join(ids, "node", "left_semi").where("key is not null").distinct(), "children", n=F.lit(1))
+    linked = skew_lookup(child, by_title, ["key"], "inner", rows=written_sums(child)["n"]).groupBy("node").agg(F.min("parent").alias("parent"))
     return ids.join(linked, "node", "left")
 
 

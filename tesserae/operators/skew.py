@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, functions as F
 
 
-def skew_lookup(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", max_hot: int = 65_536, least: int = 50_000) -> DataFrame:
+def skew_lookup(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", max_hot: int = 65_536, least: int = 50_000, rows: int | None = None) -> DataFrame:
     """left joined to right, whose keys are unique, with hot keys of left salted; how is left or inner.
 
     A key is hot if it holds more than `least` rows, or at 10^10 rows and more
@@ -16,14 +16,12 @@ def skew_lookup(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     A hot key's rows get one of as many salts as make shares of about that
     size, and only its row of right is repeated per salt. Null keys never
     match: they take no part in the join, and a left join keeps their rows.
+    rows is how many rows left has at most, if known: of `least` or fewer none
+    can be hot, and they are not counted.
     """
     present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     whole, left = left, left.where(present)
-    seen = Observation()
-    counted = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).observe(seen, F.sum("_n").alias("total"))
-    top = counted.where(F.col("_n") > least).orderBy(F.desc("_n")).limit(max_hot).collect()  # one pass gives the total as well
-    most = max(least, seen.get["total"] // max_hot) if top else least
-    hot = [(*[r[k] for k in keys], -(-r["_n"] // most)) for r in top if r["_n"] > most]
+    hot = _hot(left, keys, max_hot, least) if rows is None or rows > least else []
     if hot:
         names = left.sparkSession.createDataFrame(hot, left.select(*keys).schema.add("_salts", "long"))
         last = F.coalesce(F.col("_salts"), F.lit(1)) - 1
@@ -37,3 +35,12 @@ def skew_lookup(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     rest = whole.where(~present)
     nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name not in keys]
     return joined.unionByName(rest.select("*", *nothing))
+
+
+def _hot(left: DataFrame, keys: list[str], max_hot: int, least: int) -> list[tuple]:
+    """Each hot key and its number of salts."""
+    seen = Observation()
+    counted = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).observe(seen, F.sum("_n").alias("total"))
+    top = counted.where(F.col("_n") > least).orderBy(F.desc("_n")).limit(max_hot).collect()  # one pass gives the total as well
+    most = max(least, seen.get["total"] // max_hot) if top else least
+    return [(*[r[k] for k in keys], -(-r["_n"] // most)) for r in top if r["_n"] > most]
