@@ -6,9 +6,13 @@ Python is called for a row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tesserae.functions import scalars as s
+from tesserae.operators.skew import skew_lookup
+from tesserae.session import materialize, written_sums
 
 # The patterns of the cleaning steps. (?s): across lines; (?d): only \n ends a line.
 REFERENCES = r"(?s)== (Literatur|Références|References|Bibliographie|Further reading) ==.*$"
@@ -26,6 +30,7 @@ RESTORE = r"\{\|([^|\[]*?)([|]?)([^|]+?)\|\}"
 LINK = r"\[\[([^|\[]*?)[|]?([^|]+?)\]\]"
 TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]"
 
+ENDS = (".", "!", "?")
 PASSES, MOST = 6, 1000
 
 
@@ -83,89 +88,148 @@ def cleaned(df: DataFrame, text: str = "text", into: str = "clean") -> DataFrame
     return df
 
 
-def link_parts(df: DataFrame, keys: list[str], text: str = "clean") -> DataFrame:
-    """keys, part_no, surface, title: text between links (title '') and links, alternating from 0 on.
+PART = "array<struct<part_no:int,surface:string,title:string>>"
+
 
-    A link's title is what stands before the pipe, else its surface, with `_`
-    for blanks and without its anchor. A text has at least one part.
+def parts_of(text: Column) -> Column:
+    """The parts of a cleaned text, in an array of (part_no, surface, title).
+
+    Text between links (title '') and links, alternating from 0 on. A link's
+    title is what stands before the pipe, else its surface, with `_` for blanks
+    and without its anchor. A text has at least one part.
     """
-    t = F.col(text)
-    gaps, before, shown = F.split(t, LINK, -1), F.regexp_extract_all(t, F.lit(LINK), F.lit(1)), F.regexp_extract_all(t, F.lit(LINK), F.lit(2))
-    rows = df.select(*keys, F.posexplode(F.arrays_zip(gaps.alias("gap"), before.alias("before"), shown.alias("shown"))).alias("_i", "_p"))
-    title = s.without_anchor(s.underscored(F.when(F.col("_p.before") != "", F.col("_p.before")).otherwise(F.col("_p.shown"))))
-    pair = F.array(
-        F.struct((F.col("_i") * 2).alias("part_no"), F.col("_p.gap").alias("surface"), F.lit("").alias("title")),
-        F.when(F.col("_p.shown").isNotNull(), F.struct((F.col("_i") * 2 + 1).alias("part_no"), F.col("_p.shown").alias("surface"), title.alias("title"))),
-    )
-    return rows.select(*keys, F.explode(F.array_compact(pair)).alias("_x")).select(*keys, "_x.*")
+    gaps = F.transform(F.split(text, LINK, -1), lambda x, i: F.struct((i * 2).alias("part_no"), x.alias("surface"), F.lit("").alias("title")))
+    before, shown = F.regexp_extract_all(text, F.lit(LINK), F.lit(1)), F.regexp_extract_all(text, F.lit(LINK), F.lit(2))
+    links = F.zip_with(before, shown, lambda b, x: F.struct(x.alias("surface"), s.without_anchor(s.underscored(F.when(b != "", b).otherwise(x))).alias("title")))
+    links = F.transform(links, lambda x, i: F.struct((i * 2 + 1).alias("part_no"), x["surface"].alias("surface"), x["title"].alias("title")))
+    return F.array_sort(F.concat(gaps, links)).cast(PART)
 
 
-def resolved_parts(parts: DataFrame, entities: DataFrame, redirects: DataFrame) -> DataFrame:
-    """parts with title and type resolved: an entity's own type, else that of the redirect's target, else O.
+def link_parts(df: DataFrame, keys: list[str], text: str = "clean") -> DataFrame:
+    """keys, part_no, surface, title: one row a part of parts_of."""
+    return df.select(*keys, F.explode(parts_of(F.col(text))).alias("_x")).select(*keys, "_x.*")
+
+
+def known_titles(titles: DataFrame, entities: DataFrame, redirects: DataFrame) -> DataFrame:
+    """title, page_title, type of distinct titles: an entity's own type, else that of the redirect's target, else O.
 
     entities(page_title, ent_type) and redirects(rd_from_title, rd_title,
-    ent_type) have one row a title. Parts that are no links take no part in
-    the joins.
+    ent_type) have one row a title.
     """
     ent = entities.select(F.col("page_title").alias("title"), F.col("ent_type").alias("own_type"))
     red = redirects.select(F.col("rd_from_title").alias("title"), F.col("rd_title").alias("target"), F.col("ent_type").alias("target_type"))
-    names = parts.where("title <> ''").select("title").distinct().join(ent, "title", "left").join(red, "title", "left")
+    names = titles.join(ent, "title", "left").join(red, "title", "left")
     hit = F.col("own_type").isNotNull()
-    known = names.select("title", F.when(~hit & F.col("target").isNotNull(), F.col("target")).otherwise(F.col("title")).alias("page_title"), F.coalesce("own_type", "target_type", F.lit("O")).alias("type"))
-    links = parts.where("title <> ''").join(known, "title").drop("title")
-    return links.unionByName(parts.where("title = ''").withColumn("page_title", F.lit("")).withColumn("type", F.lit("O")).drop("title"))
+    return names.select("title", F.when(~hit & F.col("target").isNotNull(), F.col("target")).otherwise(F.col("title")).alias("page_title"), F.coalesce("own_type", "target_type", F.lit("O")).alias("type"))
+
+
+def parted(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """keys, the other columns but the text, parts and titles of each document, cleaned and cut once and written."""
+    rows = cleaned(docs, text, "_clean").withColumn("parts", parts_of(F.col("_clean"))).drop(text, "_clean")
+    own = F.filter(F.array_distinct(F.transform("parts", lambda x: x["title"])), lambda x: x != "")
+    return materialize(rows.withColumn("titles", own), "parts")
 
 
-def tokens_of(parts: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, part_no, tok_no, word, page_title, tag: tokens never cross parts; B- on the first of a part."""
-    words = F.regexp_extract_all(F.col("surface"), F.lit(TOKEN), F.lit(0))
-    rows = parts.select(*keys, "part_no", "page_title", "type", F.posexplode(words).alias("tok_no", "word"))
-    tag = F.when(F.col("type") == "O", "O").when(F.col("tok_no") == 0, F.concat(F.lit("B-"), F.col("type"))).otherwise(F.concat(F.lit("I-"), F.col("type")))
-    return rows.select(*keys, "part_no", "tok_no", "word", "page_title", tag.alias("tag"))
+def resolved_documents(parts: DataFrame, keys: list[str], entities: DataFrame, redirects: DataFrame) -> DataFrame:
+    """parted documents, one a key, whose parts are (part_no, surface, page_title, type).
 
+    Only a document's distinct titles leave it: they are looked up, hot ones
+    salted, and come back as one map a document. Its text is shuffled once,
+    by its key, however many links or tokens it has.
+    """
+    links = parts.select(*keys, F.explode("titles").alias("title")).distinct()
+    links = materialize(links, "links", n=F.lit(1))
+    known = known_titles(links.select("title").distinct(), entities, redirects)
+    found = skew_lookup(links, known, ["title"], "inner", rows=written_sums(links)["n"])
+    found = found.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("title", F.struct("page_title", "type")))).alias("found"))
+    docs = parts.drop("titles").dropDuplicates(keys).join(found, keys, "left")
+    solve = lambda x, got: F.struct(x["part_no"].alias("part_no"), x["surface"].alias("surface"), F.coalesce(got["page_title"], F.lit("")).alias("page_title"), F.coalesce(got["type"], F.lit("O")).alias("type"))
+    solved = F.transform("parts", lambda x: _given(F.col("found")[x["title"]], lambda got: solve(x, got)))
+    return docs.withColumn("parts", solved).drop("found")
+
+
+def resolved_parts(docs: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, part_no, surface, page_title, type: one row a part of resolved documents."""
+    return docs.select(*keys, F.explode("parts").alias("_x")).select(*keys, "_x.*")
 
-def documents_of(tokens: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, sentences: array of arrays of (word, tag, page_title), cut after `.`, `!` and `?`.
 
-    One aggregate a document brings its tokens together; the cut is made on
-    the sorted array, without a window.
+def tokens(parts: Column) -> Column:
+    """An array of (part_no, tok_no, word, page_title, tag): tokens never cross parts.
+
+    B- stands on the first token of each sentence within a link, so on the
+    first of a part and on those after `.`, `!` and `?`.
     """
-    item = F.struct("part_no", "tok_no", "word", "tag", "page_title")
-    rows = tokens.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias("toks"))
-    flat = F.transform("toks", lambda x: F.struct(x["word"].alias("word"), x["tag"].alias("tag"), x["page_title"].alias("page_title")))
-    ends = F.filter(F.transform("flat", lambda x, i: F.when(x["word"].isin(".", "!", "?") | (i == F.size("flat") - 1), i + 1)), lambda x: x.isNotNull())
-    rows = rows.withColumn("flat", flat).withColumn("ends", ends)
-    starts = F.concat(F.array(F.lit(0)), F.slice("ends", F.lit(1), F.size("ends") - 1))
-    cut = F.zip_with(starts, F.col("ends"), lambda a, b: F.slice("flat", a + 1, b - a))
-    return rows.select(*keys, cut.alias("sentences"))
+
+    def of_part(x: Column) -> Column:
+        def tagged(words: Column) -> Column:
+            tag = lambda i: F.when(x["type"] == "O", "O").otherwise(F.concat(F.when((i == 0) | F.get(words, i - 1).isin(*ENDS), "B-").otherwise("I-"), x["type"]))
+            return F.transform(words, lambda w, i: F.struct(x["part_no"].alias("part_no"), i.alias("tok_no"), w.alias("word"), x["page_title"].alias("page_title"), tag(i).alias("tag")))
+
+        return _given(F.regexp_extract_all(x["surface"], F.lit(TOKEN), F.lit(0)), tagged)
+
+    return F.flatten(F.transform(parts, of_part))
+
+
+def tokens_of(docs: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, part_no, tok_no, word, page_title, tag: one row a token of resolved documents."""
+    return docs.select(*keys, F.explode(tokens(F.col("parts"))).alias("_x")).select(*keys, "_x.*")
 
 
-def sentences_of(tokens: DataFrame, keys: list[str]) -> DataFrame:
+def _given(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _sentences(flat: Column) -> Column:
+    end = F.size(flat) - 1
+    ends = F.filter(F.transform(flat, lambda x, i: F.when(x["word"].isin(*ENDS) | (i == end), i + 1)), lambda x: x.isNotNull())
+    starts = lambda e: F.concat(F.array(F.lit(0)), F.slice(e, F.lit(1), F.greatest(F.size(e) - 1, F.lit(0))))
+    none = F.array().cast("array<array<struct<word:string,tag:string,page_title:string>>>")
+    cut = _given(ends, lambda e: F.zip_with(starts(e), e, lambda a, b: F.slice(flat, a + 1, b - a)))
+    return F.when(F.size(flat) > 0, cut).otherwise(none)
+
+
+def with_sentences(docs: DataFrame) -> DataFrame:
+    """Resolved documents with sentences: an array of arrays of (word, tag, page_title), cut after `.`, `!` and `?`."""
+    flat = F.transform(tokens(F.col("parts")), lambda x: F.struct(x["word"].alias("word"), x["tag"].alias("tag"), x["page_title"].alias("page_title")))
+    return docs.withColumn("sentences", _given(flat, _sentences)).drop("parts")
+
+
+def sentences_of(docs: DataFrame, keys: list[str]) -> DataFrame:
     """keys, sentence, token, word, tag, page_title: 0-based numbers of sentence and token."""
-    docs = documents_of(tokens, keys)
-    rows = docs.select(*keys, F.posexplode("sentences").alias("sentence", "_s"))
+    rows = with_sentences(docs).select(*keys, F.posexplode("sentences").alias("sentence", "_s"))
     return rows.select(*keys, "sentence", F.posexplode("_s").alias("token", "_t")).select(*keys, "sentence", "token", "_t.*")
 
 
-def tagged_documents(text: DataFrame, page: DataFrame, entities: DataFrame, redirects: DataFrame) -> DataFrame:
+def _lists(docs: DataFrame) -> DataFrame:
+    pick = lambda field: F.transform("sentences", lambda snt: F.transform(snt, lambda x: x[field]))
+    return with_sentences(docs).select("page_id", "page_title", pick("word").alias("text"), pick("tag").alias("tags"), pick("page_title").alias("link_titles"))
+
+
+def tagged_documents(text: DataFrame, page: DataFrame, entities: DataFrame, redirects: DataFrame, numbers: dict[str, int] | None = None) -> DataFrame:
     """page_id, page_title, text, tags, link_titles (lists of lists) of every article of namespace 0.
 
-    Articles without tokens have empty lists; repeated rows of an article count once.
+    Articles without tokens have empty lists; repeated rows of an article count
+    once. numbers, if given, takes how many rows are tagged and how many
+    redirects there are.
     """
     own = page.where("page_namespace = 0").select("page_id").distinct()
-    docs = text.select("page_id", F.col("title").alias("doc_title"), "text").dropDuplicates(["page_id", "text"]).join(own, "page_id", "left_semi").withColumn("doc_key", F.xxhash64("page_id", "text"))
     keys = ["page_id", "doc_key"]
-    parts = link_parts(cleaned(docs), keys)
-    made = documents_of(tokens_of(resolved_parts(parts, entities, redirects), keys), keys)
-    out = docs.select(*keys, "doc_title").join(made, keys, "left")
-    none = F.array().cast("array<array<struct<word:string,tag:string,page_title:string>>>")
-    out = out.withColumn("sentences", F.coalesce("sentences", none))
-    pick = lambda field: F.transform("sentences", lambda snt: F.transform(snt, lambda x: x[field]))
-    return out.select("page_id", F.col("doc_title").alias("page_title"), pick("word").alias("text"), pick("tag").alias("tags"), pick("page_title").alias("link_titles"))
+    docs = text.select("page_id", F.col("title").alias("page_title"), "text").withColumn("doc_key", F.xxhash64("page_id", "text")).join(own, "page_id", "left_semi")
+    parts = parted(docs, keys)
+    if numbers is not None:
+        redirects = materialize(redirects, "redirects", n=F.lit(1))
+        numbers |= {"n_redirects": written_sums(redirects)["n"], "n_pages": parts.select(*keys).distinct().count()}
+    return _lists(resolved_documents(parts, keys, entities, redirects))
+
+
+def tagged_page(page_id: int, title: str, text: str | None, entities: DataFrame, redirects: DataFrame) -> DataFrame:
+    """The row of tagged_documents for one text at hand, whatever its name space."""
+    docs = entities.sparkSession.createDataFrame([(page_id, title, text, 0)], "page_id long, page_title string, text string, doc_key long")
+    keys = ["page_id", "doc_key"]
+    return _lists(resolved_documents(parted(docs, keys), keys, entities, redirects))
 
 
 def as_json(tagged: DataFrame) -> DataFrame:
     """The stored form: the three lists as JSON."""
     return tagged.select("page_id", *[F.to_json(c).alias(c) for c in ("text", "tags", "link_titles")], "page_title")
-
-

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tesserae.functions import scalars as s
 from tesserae.operators import apriori as ap, categories as cat, entity_table as et, linking as li, mapping as mp, redirects as rd, split as sp, triples as tr, wikitext as w
 from tesserae.operators.ranks import first_by
-from tesserae.session import shared_folder
+from tesserae.session import materialize, shared_folder
 from tesserae.sources import wikixml
 from tesserae.tables import table
 
@@ -35,8 +35,8 @@ UNION ALL SELECT DISTINCT wikidata, 'P31', 'Q838948', NULL FROM {entities} WHERE
 """ + "".join(f"UNION ALL SELECT 'class:{e.name}', 'P279', 'mid:{e.name}', NULL\nUNION ALL SELECT 'mid:{e.name}', 'P279', '{e.root}', NULL\nUNION ALL SELECT '{e.root}', 'P279', 'mid:{e.name}', NULL\n" for e in tr.EXTRACTS if e.variable != "woa") + "UNION ALL SELECT 'class:subject', 'P279', 'Q215627', NULL"
 # The five roots of the typed extraction: the first categories without a parent that have the most members.
 ROLES = """SELECT page_title AS root, CASE n WHEN 1 THEN 'org' WHEN 2 THEN 'geo' WHEN 3 THEN 'notion' ELSE 'per' END AS role FROM (
-SELECT page_title, row_number() OVER (ORDER BY m DESC, page_title) AS n FROM (SELECT p.page_title, count(*) AS m FROM (SELECT DISTINCT page_id, page_title FROM {page} WHERE page_namespace = 14) p
-JOIN {categorylinks} c ON c.cl_to = p.page_title GROUP BY p.page_title) a) b WHERE n <= 5"""
+SELECT page_title, row_number() OVER (ORDER BY m DESC, page_title) AS n FROM (SELECT * FROM (SELECT p.page_title, count(*) AS m FROM (SELECT DISTINCT page_id, page_title FROM {page} WHERE page_namespace = 14) p
+JOIN {categorylinks} c ON c.cl_to = p.page_title GROUP BY p.page_title) a ORDER BY m DESC, page_title LIMIT 5) b) c"""
 
 
 def _sql(spark: SparkSession, d: str, text: str, **extra: str) -> DataFrame:
@@ -63,8 +63,12 @@ def _works(spark: SparkSession, d: str) -> DataFrame:
     return _sql(spark, d, WORKS)
 
 
+def _roles(spark: SparkSession, d: str) -> DataFrame:
+    return materialize(_sql(spark, d, ROLES), "roles")
+
+
 def _role(spark: SparkSession, d: str, role: str) -> DataFrame:
-    return _sql(spark, d, ROLES).where(F.col("role") == role).select("root").limit(1)
+    return _roles(spark, d).where(F.col("role") == role).select("root").limit(1)
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
@@ -88,19 +92,19 @@ def category_members(spark, d):
 
 
 def category_closure(spark, d):
-    return cat.category_closure(*_t(spark, d, "page", "categorylinks"), _sql(spark, d, ROLES).select("root")).select("root", "node")
+    return cat.category_closure(*_t(spark, d, "page", "categorylinks"), _roles(spark, d).select("root")).select("root", "node")
 
 
 def category_member_rows(spark, d):
-    return cat.member_rows(*_t(spark, d, "page", "categorylinks"), _sql(spark, d, ROLES).select("root"))
+    return cat.member_rows(*_t(spark, d, "page", "categorylinks"), _roles(spark, d).select("root"))
 
 
 def category_pages(spark, d):
-    return cat.category_pages(*_t(spark, d, "page", "categorylinks"), _sql(spark, d, ROLES).select("root"))
+    return cat.category_pages(*_t(spark, d, "page", "categorylinks"), _roles(spark, d).select("root"))
 
 
 def typed_entities(spark, d):
-    return cat.typed_entities(*_t(spark, d, "page", "categorylinks"), _sql(spark, d, ROLES))
+    return cat.typed_entities(*_t(spark, d, "page", "categorylinks"), _roles(spark, d))
 
 
 def disambiguation_pages(spark, d):
@@ -204,17 +208,24 @@ def _parts(spark, d):
     return w.link_parts(clean_text(spark, d), ["page_id", "doc_key"])
 
 
-def _resolved(spark, d):
+KEYS = ["page_id", "doc_key"]
+
+
+def _documents(spark, d):
     ents = _typed(spark, d)
-    return w.resolved_parts(_parts(spark, d), ents, rd.entity_redirects(*_t(spark, d, "page", "redirect"), ents))
+    return w.resolved_documents(w.parted(_docs(spark, d), KEYS), KEYS, ents, rd.entity_redirects(*_t(spark, d, "page", "redirect"), ents))
+
+
+def _resolved(spark, d):
+    return w.resolved_parts(_documents(spark, d), KEYS)
 
 
 def _tokens(spark, d):
-    return w.tokens_of(_resolved(spark, d), ["page_id", "doc_key"])
+    return w.tokens_of(_documents(spark, d), KEYS)
 
 
 def sentences(spark, d):
-    return w.sentences_of(_tokens(spark, d), ["page_id", "doc_key"])
+    return w.sentences_of(_documents(spark, d), KEYS)
 
 
 def tagged_documents(spark, d):

@@ -68,7 +68,7 @@ solved AS (SELECT p.page_id, p.doc_key, p.part_no, p.surface,
   FROM parts p LEFT JOIN ent e ON p.title <> '' AND e.page_title = p.title LEFT JOIN red r ON p.title <> '' AND r.rd_from_title = p.title)"""
 TOKENS = f"""{SOLVED},
 words AS (SELECT *, regexp_extract_all(surface, {quoted(w.TOKEN)}) AS ws FROM solved),
-toks AS (SELECT page_id, doc_key, part_no, page_title, CAST(i - 1 AS INTEGER) AS tok_no, ws[i] AS word, CASE WHEN type = 'O' THEN 'O' WHEN i = 1 THEN 'B-' || type ELSE 'I-' || type END AS tag
+toks AS (SELECT page_id, doc_key, part_no, page_title, CAST(i - 1 AS INTEGER) AS tok_no, ws[i] AS word, CASE WHEN type = 'O' THEN 'O' WHEN i = 1 OR ws[i - 1] IN ('.', '!', '?') THEN 'B-' || type ELSE 'I-' || type END AS tag
   FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS i FROM words) x)"""
 SENTENCES = f"""{TOKENS},
 numbered AS (SELECT *, coalesce(sum(CASE WHEN word IN ('.', '!', '?') THEN 1 ELSE 0 END) OVER (PARTITION BY page_id, doc_key ORDER BY part_no, tok_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sentence FROM toks),
