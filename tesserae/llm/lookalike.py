@@ -12,24 +12,36 @@ import unicodedata
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tesserae.operators.skew import skew_lookup
+from tesserae.session import materialize, written_sums
+
 # Letters of other scripts that look like a Latin letter in
 # common typefaces, each written before the Latin letter it looks like.
 ALIKE = {
     # Cyrillic
     "а": "a", "е": "e", "і": "i", "ј": "j", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "ѕ": "s", "һ": "h", "ԁ": "d", "ԛ": "q", "ԝ": "w", "ӏ": "l",
     "А": "A", "В": "B", "Е": "E", "І": "I", "Ј": "J", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X", "Ѕ": "S", "Ԛ": "Q", "Ԝ": "W", "Ү": "Y",
+    "ѵ": "v", "ү": "y", "Ѵ": "V", "Ӏ": "I", "Ԍ": "G",
     # Greek
-    "ο": "o", "ν": "v", "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "ϲ": "c", "Ϲ": "C", "ϳ": "j",
+    "ο": "o", "ν": "v", "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "ϲ": "c", "Ϲ": "C", "ϳ": "j", "ρ": "p", "Ϳ": "J",
     # Latin and Armenian
-    "ɡ": "g", "ɑ": "a", "ı": "i", "օ": "o", "ս": "u",
+    "ɡ": "g", "ɑ": "a", "ı": "i", "օ": "o", "ս": "u", "ո": "n", "հ": "h", "ց": "g", "յ": "j", "զ": "q", "Օ": "O", "Տ": "S", "Ս": "U", "Լ": "L",
+    # Cherokee
+    "Ꭰ": "D", "Ꭱ": "R", "Ꭲ": "T", "Ꭵ": "i", "Ꭺ": "A", "Ꭻ": "J", "Ꭼ": "E", "Ꮃ": "W", "Ꮇ": "M", "Ꮋ": "H", "Ꮍ": "y", "Ꮐ": "G", "Ꮒ": "h", "Ꮓ": "Z", "Ꮟ": "b", "Ꮢ": "R", "Ꮤ": "W", "Ꮥ": "S", "Ꮩ": "V", "Ꮪ": "S", "Ꮮ": "L", "Ꮯ": "C", "Ꮲ": "P", "Ꮶ": "K", "Ꮷ": "d", "Ᏼ": "B",
+    # Lisu
+    "ꓐ": "B", "ꓑ": "P", "ꓓ": "D", "ꓔ": "T", "ꓖ": "G", "ꓗ": "K", "ꓙ": "J", "ꓚ": "C", "ꓜ": "Z", "ꓝ": "F", "ꓟ": "M", "ꓠ": "N", "ꓡ": "L", "ꓢ": "S", "ꓣ": "R", "ꓦ": "V", "ꓧ": "H", "ꓪ": "W", "ꓫ": "X", "ꓬ": "Y", "ꓮ": "A", "ꓰ": "E", "ꓲ": "I", "ꓳ": "O", "ꓴ": "U",
+    # Coptic
+    "Ⲃ": "B", "Ⲏ": "H", "Ⲓ": "I", "Ⲕ": "K", "Ⲙ": "M", "Ⲛ": "N", "Ⲟ": "O", "Ⲣ": "P", "Ⲥ": "C", "Ⲧ": "T", "Ⲩ": "Y", "Ⲭ": "X", "ⲟ": "o", "ⲣ": "p", "ⲥ": "c", "ⲭ": "x",
     # signs
     "‐": "-", "‑": "-", " ": "_",
 }
 
+# Small capitals whose letter has the same shape in both cases, by their names.
+ALIKE |= {unicodedata.lookup(f"LATIN LETTER SMALL CAPITAL {c}"): c.lower() for c in "COSUVWZ"}
+
 # Characters without a shape of their own besides those of the
 # categories Cf and Cc, and the variation selectors.
 SHAPELESS = "͏ᅟᅠ឴឵᠋᠌᠍ㅤﾠ"
@@ -197,29 +209,37 @@ def _percent_decode(arr: pa.Array) -> pa.Array:
         o = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
         return pa.LargeStringArray.from_buffers(len(lengths), pa.py_buffer(o.tobytes()), pa.py_buffer(data.tobytes()))
 
-    made = build(new[keep], lengths)
-    try:
-        made.validate(full=True)
-        new[keep].tobytes().decode("utf-8")
-    except (pa.ArrowInvalid, UnicodeDecodeError):
-        ends = np.cumsum(lengths)
-        flat = new[keep].tobytes()
-        bad = [i for i in np.unique(row[pct]).tolist() if not _valid(flat[ends[i] - lengths[i] : ends[i]])]
-        broken = np.isin(row, bad)
+    bad = np.zeros(len(full), bool)
+    bad[_broken(new[keep], row[keep])] = True
+    if bad.any():
+        broken = bad[row]
         keep |= broken
         new = np.where(broken, raw, new)
-        made = build(new[keep], np.bincount(row[keep], minlength=len(full)))
+        lengths = np.bincount(row[keep], minlength=len(full))
+    made = build(new[keep], lengths)
     if null.any():
         made = pa.compute.if_else(pa.array(~null), made, pa.scalar(None, pa.large_string()))
     return made.cast(pa.string())
 
 
-def _valid(b: bytes) -> bool:
-    try:
-        b.decode("utf-8")
-        return True
-    except UnicodeDecodeError:
-        return False
+def _broken(raw: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """The rows whose bytes are not UTF-8."""
+    size = np.ones(256, np.int8)
+    size[0x80:0xC0], size[0xC2:0xE0], size[0xE0:0xF0], size[0xF0:0xF5] = 0, 2, 3, 4
+    size[0xC0:0xC2] = size[0xF5:] = -1
+    own = size[raw]
+    wrong = own < 0
+    due = np.zeros(len(raw) + 4, np.int8)  # how many sequences want a later byte here
+    for k in (1, 2, 3):
+        lead = np.flatnonzero(own > k)
+        own_row = (lead + k < len(raw)) & (row[np.minimum(lead + k, len(raw) - 1)] == row[lead])
+        wrong[lead[~own_row]] = True
+        due[lead[own_row] + k] += 1
+    wrong |= (own == 0) != (due[: len(raw)] == 1)
+    second = raw[np.minimum(np.arange(len(raw)) + 1, len(raw) - 1)] if len(raw) else raw
+    for lead, low, high in ((0xE0, 0xA0, 0xBF), (0xED, 0x80, 0x9F), (0xF0, 0x90, 0xBF), (0xF4, 0x80, 0x8F)):
+        wrong |= (raw == lead) & ((second < low) | (second > high))
+    return np.unique(row[wrong])
 
 
 def one_form_arrow(arr: pa.Array) -> pa.Array:
@@ -230,8 +250,8 @@ def one_form_arrow(arr: pa.Array) -> pa.Array:
     return _to_arrow(out, np.bincount(row, minlength=len(lengths)), null)
 
 
-@F.pandas_udf(T.StringType())
-def one_form(values: pd.Series) -> pd.Series:
+@F.arrow_udf(T.StringType())
+def one_form(values: pa.Array) -> pa.Array:
     """Column function: the form in which alike titles are equal and others differ.
 
     Letter width, ligatures, invisible characters, the kind of blank (`_`
@@ -239,12 +259,13 @@ def one_form(values: pd.Series) -> pd.Series:
     scripts do not count; accents, case and other letters or signs do. Null
     gives null, an empty text the empty text.
     """
-    return pd.Series(one_form_arrow(pa.Array.from_pandas(values, type=pa.string())).to_pandas().astype(object).values, dtype=object)
+    return one_form_arrow(values)
 
 
-@F.pandas_udf(T.StringType())
-def percent_decoded(values: pd.Series) -> pd.Series:
-    return pd.Series(_percent_decode(pa.Array.from_pandas(values, type=pa.string())).to_pandas().astype(object).values, dtype=object)
+@F.arrow_udf(T.StringType())
+def percent_decoded(values: pa.Array) -> pa.Array:
+    """Column function: percent-encoding undone; values that would not be UTF-8 stay whole."""
+    return _percent_decode(values)
 
 
 def title_values(entities: DataFrame) -> DataFrame:
@@ -260,20 +281,33 @@ def one_form_titles(entities: DataFrame) -> DataFrame:
     return title_values(entities).withColumn("form", one_form("value"))
 
 
-def alike_pairs(entities: DataFrame) -> DataFrame:
+def alike_pairs(entities: DataFrame, share: int = 20_000) -> DataFrame:
     """Pairs of rows whose values look alike but differ: field_name, ent_a < ent_b.
 
-    Only forms written in at least two ways take part; that is known from the
-    distinct writings before any row is joined. Equal values give no pair,
-    null values and empty forms none. Repeated ids give distinct pairs.
+    Forms are made once and written. Which writings share a form is found among
+    the distinct writings, so a form written in one way only, however often,
+    joins nothing. Of two writings the rows of the more frequent one are cut
+    into salts of about `share` rows, which the other's rows meet one by one.
+    Equal values give no pair, null values and empty forms none. Repeated ids
+    give distinct pairs.
     """
-    rows = one_form_titles(entities).where("form <> ''")
-    writings = rows.select("field_name", "site", "form", "value").distinct()
-    several = writings.groupBy("field_name", "site", "form").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    part = rows.join(several, ["field_name", "site", "form"], "left_semi")
-    a = part.select("field_name", "site", "form", F.col("ent_id").alias("ent_a"), F.col("value").alias("value_a"))
-    b = part.select("field_name", "site", "form", F.col("ent_id").alias("ent_b"), F.col("value").alias("value_b"))
-    return a.join(b, ["field_name", "site", "form"]).where("ent_a < ent_b and value_a <> value_b").select("field_name", "ent_a", "ent_b").distinct()
+    keys = ["field_name", "site", "form"]
+    made = materialize(one_form_titles(entities).where("form <> ''").withColumn("writing", F.md5(F.concat_ws("\u0000", "field_name", "site", "value"))), "forms", n=F.lit(1))
+    rows = made.select("field_name", "writing", "ent_id")
+    writings = materialize(made.groupBy(*keys, "writing").agg(F.count(F.lit(1)).alias("n")), "writings")
+    a, b = (writings.select(*keys, F.col("writing").alias(f"of_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
+    pairs = a.join(b, keys).where("of_a <> of_b and (n_a > n_b or n_a = n_b and of_a < of_b)")
+    pairs = materialize(pairs.select("of_a", "of_b", F.ceil(F.col("n_a") / share).cast("int").alias("salts")), "alike")
+    total = written_sums(made)["n"]
+
+    def side(own: str, other: str) -> DataFrame:
+        partners = pairs.groupBy(F.col(own).alias("writing")).agg(F.collect_list(F.struct(other, "salts")).alias("partners"))
+        met = skew_lookup(rows, partners, ["writing"], "inner", rows=total).select("field_name", F.col("writing").alias(own), "ent_id", F.explode("partners").alias("p"))
+        return met.select("field_name", own, f"p.{other}", "ent_id", "p.salts")
+
+    left = side("of_a", "of_b").withColumn("salt", F.pmod(F.xxhash64("ent_id"), F.col("salts")).cast("int")).withColumnRenamed("ent_id", "id_a")
+    right = side("of_b", "of_a").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).select("of_a", "of_b", "salt", F.col("ent_id").alias("id_b"))
+    return left.join(right, ["of_a", "of_b", "salt"]).where("id_a <> id_b").select("field_name", F.least("id_a", "id_b").alias("ent_a"), F.greatest("id_a", "id_b").alias("ent_b")).distinct()
 
 
 def form_groups(entities: DataFrame) -> DataFrame:

@@ -19,6 +19,10 @@ def p1_forms(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.one_form_titles(table(spark, d, "entities"))
 
 
+def p1_groups(spark: SparkSession, d: str) -> DataFrame:
+    return lookalike.form_groups(table(spark, d, "entities"))
+
+
 def _sentences(spark: SparkSession, d: str) -> DataFrame:
     return sentences.sentence_units(table(spark, d, "text"), table(spark, d, "tagged"), table(spark, d, "page"))
 
@@ -80,7 +84,7 @@ def p9_restored(spark: SparkSession, d: str) -> DataFrame:
     return garbled.restore(table(spark, d, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p2_found": p2_found, "p2_units": p2_units, "p3_found": p3_found, "p3_clean": p3_clean, "p5_found": p5_found, "p5_records": p5_records, "p7_containers": p7_containers, "p7_fill": p7_fill, "p8_selection": p8_selection, "p8_shares": p8_shares, "p9_found": p9_found, "p9_restored": p9_restored}
+QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p1_groups": p1_groups, "p2_found": p2_found, "p2_units": p2_units, "p3_found": p3_found, "p3_clean": p3_clean, "p5_found": p5_found, "p5_records": p5_records, "p7_containers": p7_containers, "p7_fill": p7_fill, "p8_selection": p8_selection, "p8_shares": p8_shares, "p9_found": p9_found, "p9_restored": p9_restored}
 
 _ROWS = r"""
 rows AS (SELECT 'Q' || regexp_extract(translate(wikidata, '０１２３４５６７８９Ｑｑ', '0123456789Qq'), '(?:^|[^A-Za-z0-9])[Qq]0*([0-9]+)(?:$|[^0-9A-Za-z])', 1) AS qid, ent_id, modified_at,
@@ -94,22 +98,37 @@ item AS (SELECT qid, count(*) AS n, bool_or(b) AS b, bool_or(i) AS i, bool_or(c)
 
 
 
+# Letters and the Latin letters that they look like, one below the other, by script.
+LOOKS = (
+    ("аеіјорсухѕһԁԛԝӏАВЕІЈКМНОРСТУХЅԚԜҮѵүѴӀԌ", "aeijopcyxshdqwlABEIJKMHOPCTYXSQWYvyVIG"),
+    ("ονΑΒΕΖΗΙΚΜΝΟΡΤΥΧϲϹϳρͿ", "ovABEZHIKMNOPTYXcCjpJ"),
+    ("ɡɑıօսոհցյզՕՏՍԼᴄᴏꜱᴜᴠᴡᴢ", "gaiounhgjqOSULcosuvwz"),
+    ("ᎠᎡᎢᎥᎪᎫᎬᎳᎷᎻᎽᏀᏂᏃᏏᏒᏔᏕᏙᏚᏞᏟᏢᏦᏧᏴ", "DRTiAJEWMHyGhZbRWSVSLCPKdB"),
+    ("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU"),
+    ("ⲂⲎⲒⲔⲘⲚⲞⲢⲤⲦⲨⲬⲟⲣⲥⲭ", "BHIKMNOPCTYXopcx"),
+    ("\u2010\u2011", "--"),
+)
+
+
 def _plain_sql(value: str) -> str:
-    """The one form in DuckDB: characters replaced one by one, then composed; made from the Unicode database by rule."""
+    """The one form in DuckDB, which knows neither the operator's table nor its composition: characters replaced one by one, then composed; made from the Unicode database by rule."""
     quoted = lambda t: "'" + t.replace("'", "''") + "'"
+    looks = {a: b for row in LOOKS for a, b in zip(*row, strict=True)}
     old, new, gone, long = "", "", "", {}
     for cp in range(0x80, sys.maxunicode + 1):
         ch = chr(cp)
         if 0xD800 <= cp <= 0xDFFF or 0x3400 <= cp <= 0x9FFF or cp > 0x2FA1F or unicodedata.category(ch) == "Cn":
             continue
         kind = unicodedata.decomposition(ch).split(" ")[0]
-        to = unicodedata.normalize("NFKD", ch) if kind in lookalike.SAME_LOOK else lookalike.ALIKE.get(ch, ch)
+        bare = unicodedata.normalize("NFD", ch)
+        under = "".join(looks.get(x, x) for x in bare)  # the letter below the marks
+        to = unicodedata.normalize("NFC", under) if kind and not kind.startswith("<") and under != bare else unicodedata.normalize("NFKD", ch) if kind in lookalike.SAME_LOOK else looks.get(ch, ch)
         if unicodedata.category(ch) in ("Cf", "Cc") or ch in lookalike.SHAPELESS or 0xFE00 <= cp <= 0xFE0F:
             gone += ch
         elif unicodedata.category(ch) in ("Zs", "Zl", "Zp"):
             old, new = old + ch, new + "_"
         elif len(to) == 1 and to != ch:
-            old, new = old + ch, new + lookalike.ALIKE.get(to, to)
+            old, new = old + ch, new + looks.get(to, to)
         elif 1 < len(to) < 6 and to.isascii() and not to.startswith(" "):
             long[ch] = to
     for ch, to in long.items():
@@ -126,6 +145,7 @@ forms AS (SELECT *, {_plain_sql('value')} AS form FROM vals)
 SQL = {
     "p1_found": f"WITH {_VALUES} SELECT DISTINCT a.field_name, a.ent_id AS ent_a, b.ent_id AS ent_b FROM forms a JOIN forms b USING (field_name, site, form) WHERE a.ent_id < b.ent_id AND a.value <> b.value AND form <> ''",
     "p1_forms": f"WITH {_VALUES} SELECT field_name, ent_id, site, value, form FROM forms",
+    "p1_groups": f"WITH {_VALUES} SELECT field_name, site, form, count(DISTINCT value) AS n_writings, count(*) AS n_rows FROM forms GROUP BY ALL",
     "p5_found": f"""WITH {_ROWS}
 SELECT r.qid, r.ent_id FROM rows r JOIN item t USING (qid)
 WHERE t.n >= 2 AND (t.b OR t.i OR t.c) AND r.b = t.b AND r.i = t.i AND r.c = t.c

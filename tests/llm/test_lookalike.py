@@ -52,3 +52,40 @@ def test_pairs(spark):
 def test_long_values(spark):
     df = spark.createDataFrame([(1, "\u00e4" * 100_000, None), (2, "a\u0308" * 100_000, None)], "ent_id long, page_title string, sitelink string")
     assert [tuple(r) for r in m.alike_pairs(df).collect()] == [("page_title", 1, 2)]
+
+
+ALIKE = "ρp ոn հh ցg ѵv үy ᎪA ᎡR ᏟC ꓮA ⲞO ᴏo аa ΑA ВB օo ɡg".split()
+
+
+def test_pairs_of_letters_that_look_alike():
+    for a, b in ALIKE:
+        assert form(a) == form(b), (a, b)
+    for a, b in ("ßβ", "AΔ", "nη", "wω", "xχ", "Ll", "O0"):
+        assert form(a) != form(b), (a, b)
+    from tesserae.llm import queries
+
+    looks = {a: b for row in queries.LOOKS for a, b in zip(*row, strict=True)}
+    assert looks == {a: b for a, b in m.ALIKE.items() if b != "_"}  # the SQL's own list
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.binary(max_size=8), min_size=1, max_size=6))
+def test_broken_bytes(parts):
+    def valid(b):
+        try:
+            return bool(b.decode("utf-8")) or True
+        except UnicodeDecodeError:
+            return False
+
+    import numpy as np
+
+    raw = np.frombuffer(b"".join(parts), np.uint8)
+    row = np.repeat(np.arange(len(parts)), [len(b) for b in parts])
+    assert m._broken(raw, row).tolist() == [i for i, b in enumerate(parts) if not valid(b)]
+
+
+def test_hot_forms(spark):
+    rows = [(i, "Ab C" if i < 3_000 else "Ab_C", None) for i in range(3_003)] + [(5_000, "Xy", None), (None, "Ab\u00a0C", None)]
+    df = spark.createDataFrame(rows, "ent_id long, page_title string, sitelink string")
+    got = m.alike_pairs(df, share=100)
+    assert got.count() == 3 * 3_000 and got.where("ent_a >= ent_b or ent_a >= 3000 or ent_b < 3000").count() == 0
