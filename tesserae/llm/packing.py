@@ -6,8 +6,11 @@ any number of items. Patterns of one to three sizes that fill a container are
 enumerated over a grid of sizes; their repeat counts are fitted to the
 histogram by non-negative least squares and rounded down; the rest of the
 histogram is packed, largest size first, each gap by the largest that fits.
-Items then find their place by their rank among the items of their size,
-which is counted without bringing a size's items to one task.
+The grid coarsens sizes to a 256th of the capacity when patterns are chosen;
+what a pattern leaves open by that is filled from the rest, too. Each kind of
+container is planned in a task of its own. Items then find their place by their
+rank among the items of their size, which is counted without bringing a size's
+items to one task.
 """
 
 from __future__ import annotations
@@ -18,30 +21,30 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tesserae.session import materialize
+from tesserae.session import materialize, written_sums
 
 GRID = 256
 PLACED = "spec_name string, container_id long, doc_id long, piece_no int, token_start long, token_end long"
 
 
 def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 2000) -> np.ndarray:
-    """x >= 0 that minimises |a x - b|, by an active set over the normal equations."""
+    """x >= 0 that minimises |a x - b|, by an active set over the normal equations of its columns."""
     n = a.shape[1]
-    gram, target = a.T @ a, a.T @ b
     x = np.zeros(n)
     free = np.zeros(n, bool)
-    limit = 1e-9 * max(1.0, float(np.abs(target).max(initial=0)))
+    limit = 1e-9 * max(1.0, float(np.abs(a.T @ b).max(initial=0)))
     for _ in range(rounds):
-        slope = target - gram @ x
+        at = np.flatnonzero(free)
+        slope = a.T @ (b - a[:, at] @ x[at])
         slope[free] = -np.inf
         j = int(np.argmax(slope))
-        if slope[j] <= limit or free.sum() >= a.shape[0]:
+        if slope[j] <= limit or len(at) >= a.shape[0]:
             break
         free[j] = True
         while True:
             at = np.flatnonzero(free)
-            own = gram[np.ix_(at, at)]
-            s = np.linalg.solve(own + 1e-9 * np.eye(len(at)), target[at])
+            own = a[:, at]
+            s = np.linalg.solve(own.T @ own + 1e-9 * np.eye(len(at)), own.T @ b)
             if (s > 0).all():
                 x[:] = 0
                 x[at] = s
@@ -64,17 +67,61 @@ def patterns(grid: int) -> list[tuple[int, ...]]:
     return out
 
 
+class _Stock:
+    """How many items of each size are left, and the largest size at hand up to a bound, found in next to constant time."""
+
+    def __init__(self, counts: np.ndarray) -> None:
+        self.left: list[int] = counts.tolist()
+        self.left[0] = 0
+        self.down = [s if n or not s else s - 1 for s, n in enumerate(self.left)]  # sizes used up point below
+
+    def largest(self, bound: int) -> int:
+        """The largest size up to bound of which there are items, or 0."""
+        top = bound
+        while self.down[top] != top:
+            top = self.down[top]
+        while self.down[bound] != top and bound != top:
+            self.down[bound], bound = top, self.down[bound]
+        return top
+
+    def take(self, used: dict[int, int], most: int) -> int:
+        """Take `used` items of each size as often as there are, at most `most` times; how often."""
+        k = min([most, *(self.left[s] // u for s, u in used.items())])
+        for s, u in used.items():
+            self.left[s] -= k * u
+            if not self.left[s]:
+                self.down[s] = s - 1
+        return k
+
+    def fill(self, used: dict[int, int], gap: int) -> list[int]:
+        """The largest sizes at hand, besides those used, that fit a gap one after another; used counts them."""
+        added = []
+        while gap > 0:
+            s = self.largest(gap)
+            while s and self.left[s] <= used.get(s, 0):
+                s = self.largest(s - 1)
+            if not s:
+                break
+            used[s] = used.get(s, 0) + 1
+            added.append(s)
+            gap -= s
+        return added
+
+
 def plan(counts: np.ndarray, capacity: int, grid: int = GRID) -> list[tuple[tuple[int, ...], int]]:
-    """(sizes, number of containers) that place counts[s] items of each size s, 1 to capacity."""
-    left = counts.astype(np.int64).copy()
-    left[0] = 0
-    out: list[tuple[list[int], int]] = []
+    """(sizes, number of containers) that place counts[s] items of each size s, 1 to capacity.
+
+    Each entry uses up a size but for a few items, so there are about as many
+    as sizes, whatever the number of items.
+    """
+    stock = _Stock(counts.astype(np.int64))
     grid = min(grid, capacity)
-    sizes = np.arange(capacity + 1)
-    cls = -(-sizes * grid // capacity)  # rounded up, so what fits the grid fits
-    members = {c: sizes[cls == c][::-1] for c in range(1, grid + 1)}
-    have = np.bincount(cls, weights=left, minlength=grid + 1)
+    cls = -(-np.arange(capacity + 1) * grid // capacity)  # rounded up, so what fits the grid fits
+    top = {int(c): int(s) for s, c in enumerate(cls)}  # the largest size of each class
+    have = np.bincount(cls, weights=np.array(stock.left), minlength=grid + 1)
     usable = [p for p in patterns(grid) if all(have[c] > 0 for c in p)]
+    out: list[tuple[tuple[int, ...], int]] = []
+    whole: list[tuple[list[int], int]] = []
     if usable:
         a = np.zeros((grid, len(usable)))
         for j, p in enumerate(usable):
@@ -86,62 +133,31 @@ def plan(counts: np.ndarray, capacity: int, grid: int = GRID) -> list[tuple[tupl
             while n > 0:
                 chosen, used = [], {}
                 for c in usable[j]:  # the largest left of each class
-                    s = next((int(s) for s in members[c] if left[s] - used.get(int(s), 0) > 0), 0)
-                    if not s:
+                    s = stock.largest(top[c])
+                    while s and cls[s] == c and stock.left[s] <= used.get(s, 0):
+                        s = stock.largest(s - 1)
+                    if not s or cls[s] != c:
                         break
                     chosen.append(s)
                     used[s] = used.get(s, 0) + 1
-                else:
-                    k = min([n, *(int(left[s]) // u for s, u in used.items())])
-                    for s, u in used.items():
-                        left[s] -= k * u
-                    out.append((chosen, k))
-                    n -= k
-                    continue
-                break
-    done: list[tuple[tuple[int, ...], int]] = []
+                if len(chosen) < len(usable[j]):
+                    break
+                k = stock.take(used, n)
+                whole.append((chosen, k))
+                n -= k
     # what the patterns leave open is filled first, then whole containers from the rest
-    for chosen, n in out:
+    for chosen, n in whole:
         while n > 0:
-            filled, k = _fill(list(chosen), capacity - sum(chosen), n, left)
-            done.append((tuple(filled), k))
+            used: dict[int, int] = {}
+            added = stock.fill(used, capacity - sum(chosen))
+            k = stock.take(used, n)
+            out.append(((*chosen, *added), k))
             n -= k
-    while left.any():
-        s = int(np.flatnonzero(left)[-1])
-        left[s] -= 1
-        filled, k = _fill([s], capacity - s, int(left[s]) + 1, left, first=s)
-        done.append((tuple(filled), k))
-    return done
-
-
-def _fill(chosen: list[int], gap: int, most: int, left: np.ndarray, first: int = 0) -> tuple[list[int], int]:
-    """Fill a gap with the largest sizes left, alike in as many of `most` containers as sizes allow."""
-    used: dict[int, int] = {}
-    added: list[int] = []
-    while gap > 0:
-        fits = np.flatnonzero(left[: gap + 1])
-        fits = [int(s) for s in fits[::-1][:8] if left[s] > used.get(int(s), 0)]
-        if not fits:
-            rest = np.flatnonzero(left[: gap + 1])[::-1]
-            fits = [int(s) for s in rest if left[s] > used.get(int(s), 0)][:1]
-        if not fits:
-            break
-        s = fits[0]
-        used[s] = used.get(s, 0) + 1
-        added.append(s)
-        gap -= s
-    k = most
-    for s, u in used.items():
-        if s == first:  # one of this size is taken already in each container
-            k = min(k, (int(left[s]) + 1) // (u + 1))
-        else:
-            k = min(k, int(left[s]) // u)
-    k = max(k, 1)
-    for s, u in used.items():
-        left[s] -= u * k
-    if first:
-        left[first] -= k - 1
-    return chosen + added, k
+    while first := stock.largest(capacity):
+        used = {first: 1}
+        added = stock.fill(used, capacity - first)
+        out.append(((first, *added), stock.take(used, stock.left[first])))
+    return out
 
 
 class Places:
@@ -191,15 +207,20 @@ def pack(sized: DataFrame, specs: DataFrame, grid: int = GRID) -> DataFrame:
     caps = capacities(specs)
     if not caps:
         return sized.sparkSession.createDataFrame([], PLACED)
-    items = materialize(pieces(sized, caps), "items")
-    histogram = items.groupBy("spec_name", "size").agg(F.count(F.lit(1)).alias("n")).toPandas()  # at most the sum of the capacities
-    places: dict[str, Places] = {}
-    for spec, own in histogram.groupby("spec_name"):
+    items = materialize(pieces(sized, caps), "items", n=F.lit(1))
+
+    def planned(own: pd.DataFrame) -> pd.DataFrame:
+        spec = own["spec_name"].iloc[0]
         counts = np.zeros(caps[spec] + 1, np.int64)
         counts[own["size"].to_numpy()] = own["n"].to_numpy()
-        places[spec] = Places(plan(counts, caps[spec], grid))
+        rows = [(spec, i, list(sizes), n) for i, (sizes, n) in enumerate(plan(counts, caps[spec], grid))]
+        return pd.DataFrame(rows, columns=["spec_name", "place", "sizes", "n"])
+
+    histogram = items.groupBy("spec_name", "size").agg(F.count(F.lit(1)).alias("n"))  # a group is at most one row a size
+    each = histogram.repartition(len(caps), "spec_name").groupBy("spec_name").applyInPandas(planned, "spec_name string, place long, sizes array<long>, n long").orderBy("place").collect()
+    places = {spec: Places([(tuple(r["sizes"]), r["n"]) for r in each if r["spec_name"] == spec]) for spec in caps}
     shared = sized.sparkSession.sparkContext.broadcast(places)
-    buckets = max(1, int(histogram["n"].sum()) // 50_000)
+    buckets = max(1, written_sums(items)["n"] // 50_000)
     keyed = items.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece_no"), F.lit(buckets)).cast("int"))
     sums = keyed.groupBy("spec_name", "size", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = sums.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("spec_name", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
