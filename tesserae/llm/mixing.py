@@ -178,8 +178,15 @@ def select(sized: DataFrame, targets: DataFrame, seed: int = 17) -> DataFrame:
 
 
 def shares(selected: DataFrame, targets: DataFrame) -> DataFrame:
-    """What each source of each mix got; sources that gave nothing have a share of 0."""
+    """What each source of each mix got; sources that gave nothing have a share of 0.
+
+    scaled_share is the target among the sources that gave anything: what can
+    be reached where a wanted source holds nothing.
+    """
     got = selected.groupBy("mix_name", "source").agg(F.sum(F.col("tokens") * F.col("n_uses")).alias("tokens"), F.count(F.lit(1)).alias("n_texts"), F.max("n_uses").alias("most_uses"))
-    whole = got.groupBy("mix_name").agg(F.sum("tokens").alias("all_tokens"))
     goal = targets.where("mix_name is not null and source is not null").groupBy("mix_name", "source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
-    return goal.join(got, ["mix_name", "source"], "left").join(whole, "mix_name", "left").select("mix_name", "source", "target_share", (F.coalesce("tokens", F.lit(0)) / F.col("all_tokens")).alias("actual_share"), F.coalesce("tokens", F.lit(0)).alias("tokens"), F.coalesce("n_texts", F.lit(0)).alias("n_texts"), F.coalesce("most_uses", F.lit(0)).alias("most_uses"), "max_repeats")
+    rows = goal.join(got, ["mix_name", "source"], "left").withColumn("tokens", F.coalesce("tokens", F.lit(0)))
+    gave = F.when(F.col("tokens") > 0, F.col("target_share")).otherwise(0.0)
+    whole = rows.groupBy("mix_name").agg(F.sum("tokens").alias("all_tokens"), F.sum(gave).alias("all_shares"))
+    rows = rows.join(whole, "mix_name")  # both sides as long as the table of mixes
+    return rows.select("mix_name", "source", "target_share", (gave / F.col("all_shares")).alias("scaled_share"), (F.col("tokens") / F.col("all_tokens")).alias("actual_share"), "tokens", F.coalesce("n_texts", F.lit(0)).alias("n_texts"), F.coalesce("most_uses", F.lit(0)).alias("most_uses"), "max_repeats")
