@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tesserae.operators import apriori as ap, categories as cat, entity_table as et, linking as li, mapping as mp, redirects as rd, split as sp, wikitext as w
 from tesserae.session import local_session, ship_package
-from tesserae.sources import sparql, wikixml
+from tesserae.sources import insertdump, sparql, wikixml
 from tesserae.sources.sqlite import read_sqlite
 
 # The category roots of the deprecated typed extraction.
@@ -54,7 +54,9 @@ def _typed(df: DataFrame) -> DataFrame:
 def tag_entities(spark, a):
     page, redirect = read(spark, a.wikipedia, "page"), read(spark, a.wikipedia, "redirect")
     ents = _typed(spark.read.parquet(a.entities))
-    docs = w.tagged_documents(spark.read.parquet(a.fulltext), page, ents, rd.entity_redirects(page, redirect, ents))
+    numbers: dict[str, int] = {}
+    docs = w.tagged_documents(spark.read.parquet(a.fulltext), page, ents, rd.entity_redirects(page, redirect, ents), numbers)
+    print(f"{numbers['n_pages']} pages to tag, {numbers['n_redirects']} redirects")
     w.as_json(docs).write.mode("append").parquet(a.out)
 
 
@@ -80,8 +82,12 @@ def train_test_split(spark, a):
 
 def link_tagged(spark, a):
     types = set(a.entity_types.split("|")) if a.entity_types else None
-    client = functools.partial(li.HttpClient, a.endpoint)
-    li.run(spark.read.parquet(a.tagged), client, types, a.min_count_per_doc).write.mode("append").parquet(a.out)
+    client = functools.partial(li.HttpClient, a.endpoint, noproxy=a.noproxy)
+    li.run(spark.read.parquet(a.tagged), client, types, a.min_count_per_doc, a.seed).write.mode("append").parquet(a.out)
+
+
+def import_dump(spark, a):
+    insertdump.read_inserts(spark, a.dump, a.table).write.mode("overwrite").parquet(a.out)
 
 
 def extract_typed(spark, a):
@@ -123,7 +129,8 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument(x, type=float)
     for x in ("train_out", "dev_out", "test_out"):
         c.add_argument(x)
-    command("link-tagged", link_tagged, "tagged", "endpoint", "out", entity_types={}, min_count_per_doc={"type": int})
+    command("link-tagged", link_tagged, "tagged", "endpoint", "out", entity_types={}, min_count_per_doc={"type": int}, noproxy=flag, seed={"type": int, "default": 0})
+    command("import-dump", import_dump, "dump", "table", "out")
     command("extract-typed", extract_typed, "wikipedia", "out")
     command("map-languages", map_languages, "out", "languages", "entities", "wikipedia").add_argument("others", nargs="*")
     return p

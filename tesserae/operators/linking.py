@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import json
+import logging
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from tesserae.session import materialize
+
+log = logging.getLogger(__name__)
+
 LISTS = "array<array<string>>"
-PARSED = "page_id long, page_title string, entity_id string, gt string"
 RANKED = "page_id long, page_title string, entity_id string, gt string, ranking array<struct<label:string,wikidata:string,proba:double>>"
 
 
@@ -57,50 +61,61 @@ def flatten_rankings(ranked: DataFrame) -> DataFrame:
 class HttpClient:
     """The two calls of a linking service; needs the package requests, which is imported when called."""
 
-    def __init__(self, endpoint: str, threshold: float = 0.01, timeout: float = 1800) -> None:
-        self.endpoint, self.threshold, self.timeout = endpoint, threshold, timeout
+    def __init__(self, endpoint: str, threshold: float = 0.01, timeout: float = 1800, noproxy: bool = False) -> None:
+        self.endpoint, self.threshold, self.timeout, self.noproxy = endpoint, threshold, timeout, noproxy
 
-    def parse(self, sentences: list) -> dict:
+    def _post(self, path: str, body: object) -> object:
         import requests
 
-        resp = requests.post(self.endpoint + "/parse", json=sentences, timeout=self.timeout)
-        resp.raise_for_status()  # an error here ends the run
+        with requests.Session() as session:
+            session.trust_env = not self.noproxy  # else proxies come from the environment
+            resp = session.post(self.endpoint + path, json=body, timeout=self.timeout)
+        resp.raise_for_status()
         return resp.json()
 
+    def parse(self, sentences: list) -> dict:
+        return self._post("/parse", sentences)  # an error here ends the run
+
     def ned(self, parsed: dict) -> dict | None:
         import requests
 
         try:
-            resp = requests.post(f"{self.endpoint}/ned?threshold={self.threshold}", json=parsed, timeout=self.timeout)
-            resp.raise_for_status()
+            return self._post(f"/ned?threshold={self.threshold}", parsed)
         except requests.HTTPError as e:
-            print(e)
-            return None  # an error here skips the page
-        return resp.json()
+            log.warning("page skipped: %s", e)
+            return None
 
 
-def run(tagged: DataFrame, client: Callable[[], object], types: set[str] | None = None, least: int | None = None) -> DataFrame:
-    """The whole batch with an injected client: an object with parse(sentences) and ned(parsed), made once a task."""
+def run(tagged: DataFrame, client: Callable[[], object], types: set[str] | None = None, least: int | None = None, seed: int | None = None) -> DataFrame:
+    """The whole batch with an injected client: an object with parse(sentences) and ned(parsed), made once a task.
+
+    What is parsed is written, so that no page is sent twice; filter_entities
+    chooses among it, and a page's entities go to the second call together.
+    With a seed the pages are sent in an order of chance, which spreads
+    expensive ones; the same seed gives the same order.
+    """
     rows = payload(tagged).select("page_id", "page_title", F.to_json("sentences").alias("body"))
+    if seed is not None:
+        rows = rows.orderBy(F.xxhash64("page_id", "body", F.lit(seed)))
+
+    def parse(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        service = client()
+        for part in parts:
+            found = [(page, title, k, i, json.dumps(v)) for page, title, body in zip(part["page_id"], part["page_title"], part["body"]) for i, (k, v) in enumerate(service.parse(json.loads(body)).items())]
+            yield pd.DataFrame(found, columns=["page_id", "page_title", "entity_id", "place", "value"])
 
-    def call(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rank(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         service = client()
         for part in parts:
             out = []
-            for page, title, body in zip(part["page_id"], part["page_title"], part["body"]):
-                parsed = service.parse(json.loads(body))
-                if types is not None:
-                    parsed = {k: v for k, v in parsed.items() if k[-3:] in types}
-                if least is not None and len(parsed) < least:
-                    continue
-                answer = service.ned(parsed)
-                if answer is None:
-                    continue
-                for k, v in answer.items():
-                    if k not in parsed:
-                        continue
-                    ranking = [{"label": label, "wikidata": r["wikidata"], "proba": float(r["proba_1"])} for label, r in v["ranking"]] if "ranking" in v else None
-                    out.append((page, title, k, parsed[k]["gt"][0], ranking))
+            for page, title, own in zip(part["page_id"], part["page_title"], part["own"]):
+                parsed = {e["entity_id"]: json.loads(e["value"]) for e in own}
+                for k, v in (service.ned(parsed) or {}).items():
+                    if k in parsed:
+                        ranking = [{"label": name, "wikidata": r["wikidata"], "proba": float(r["proba_1"])} for name, r in v["ranking"]] if "ranking" in v else None
+                        out.append((page, title, k, parsed[k]["gt"][0], ranking))
             yield pd.DataFrame(out, columns=["page_id", "page_title", "entity_id", "gt", "ranking"])
 
-    return flatten_rankings(rows.mapInPandas(call, RANKED))
+    parsed = materialize(rows.mapInPandas(parse, "page_id long, page_title string, entity_id string, place int, value string"), "parsed")
+    chosen = filter_entities(parsed, types, least).groupBy("page_id", "page_title").agg(F.sort_array(F.collect_list(F.struct("place", "entity_id", "value"))).alias("own"))
+    return flatten_rankings(chosen.mapInPandas(rank, RANKED))

@@ -15,6 +15,12 @@ def entity_redirects(page: DataFrame, redirect: DataFrame, entities: DataFrame)
     return first_by(hits.select("rd_from_title", "rd_title", "ent_type", "page_id"), ["rd_from_title"], ["rd_title", "page_id"]).select("rd_from_title", "rd_title", "ent_type")
 
 
+def checked(redirects: DataFrame) -> DataFrame:
+    """The same redirects; running it fails where a source title stands in several rows."""
+    sole = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.concat(F.lit("several redirects of "), "rd_from_title"))).otherwise(F.first(F.struct("rd_title", "ent_type")))
+    return redirects.groupBy("rd_from_title").agg(sole.alias("_r")).select("rd_from_title", "_r.rd_title", "_r.ent_type")
+
+
 def duplicate_sources(page: DataFrame, redirect: DataFrame) -> DataFrame:
     """n_rows, n_titles, n_duplicates of redirect source titles."""
     rows = redirect.select(F.col("rd_from").alias("page_id")).join(pages(page, 0), "page_id")

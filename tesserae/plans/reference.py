@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
+import json
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tesserae.functions import scalars as s
 from tesserae.operators import apriori as ap, categories as cat, entity_table as et, linking as li, mapping as mp, redirects as rd, split as sp, triples as tr, wikitext as w
 from tesserae.operators.ranks import first_by
-from tesserae.session import materialize, shared_folder
-from tesserae.sources import wikixml
+from tesserae.session import materialize, scratch
+from tesserae.sources import insertdump, sparql, sqlite, wikixml
 from tesserae.tables import table
 
+CONTROLS = "[\\x00-\\x08\\x0b-\\x1f\ufffe\uffff]"
 SITE = "https://de.wiki.example/wiki/"
 
 # ---- tables that the test data has in another shape --------------------------
@@ -264,19 +266,115 @@ def linking_flatten(spark, d):
 
 
 def xml_pages(spark, d):
-    """The articles written as a dump and read again."""
-    docs = table(spark, d, "text").where("text is not null and text not rlike '[\\\\x00-\\\\x08\\\\x0b-\\\\x1f]'").select("page_id", "title", "text").distinct()
+    """The articles written as a dump and read again; control characters have no place in XML, so texts lose them first."""
+    docs = table(spark, d, "text").where("text is not null").select("page_id", "title", F.regexp_replace("text", CONTROLS, " ").alias("text")).distinct()
     dump = docs.select("title", F.col("page_id").alias("id"), F.struct(F.struct(F.col("text").alias("_VALUE"), F.lit("1").alias("_bytes")).alias("text")).alias("revision"))
-    folder = f"{shared_folder(spark)}/dump-{uuid.uuid4().hex}"
+    folder = scratch(spark, "dump")
     wikixml.write_dump(dump, folder)
     read = wikixml.read_pages(spark, folder)
-    return read.select("page_id", F.length("title").alias("title_length"), F.length(F.regexp_replace(F.coalesce("text", F.lit("")), "\\s", "")).alias("n_marks"))
+    return read.select("page_id", "title", F.md5(F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), "[ \\t\\n]+", " "))).alias("digest"))
+
+
+def insert_dump(spark, d):
+    """Pages written as a dump of INSERT statements and read again."""
+    own = table(spark, d, "page").select("page_id", "page_namespace", "page_title", "page_lang")
+    folder = scratch(spark, "inserts")
+    insertdump.write_inserts(own, folder, "page")
+    return insertdump.read_inserts(spark, folder, "page")
+
+
+def sqlite_tables(spark, d):
+    """Redirects replaced, then appended to, in SQLite, and read by ranges of rows."""
+    own = table(spark, d, "redirect").select("rd_from", "rd_namespace", "rd_title")
+    folder = scratch(spark, "sqlite")
+    if folder.startswith("file:") or "://" not in folder:
+        path = folder.removeprefix("file://")
+        Path(path).mkdir(parents=True)
+        sqlite.write_sqlite(own.where("rd_namespace = 0"), f"{path}/x.db", "redirect", "overwrite", ("rd_from",))
+        sqlite.write_sqlite(own.where("rd_namespace is distinct from 0"), f"{path}/x.db", "redirect")
+        return sqlite.read_sqlite(spark, f"{path}/x.db", "redirect")
+    raise RuntimeError("SQLite needs a shared folder that is mounted")
+
+
+def page_ranges(spark, d):
+    """Articles appended in two batches as ranges of ids, and what the ranges hold."""
+    own = table(spark, d, "text").select("page_id", "title", "text").where("page_id is not null")
+    path = scratch(spark, "pages")
+    wikixml.write_pages(own.where("page_id % 2 = 0"), path)
+    wikixml.write_pages(own.where("page_id % 2 = 1"), path)
+    return spark.read.parquet(path).groupBy(F.col("range").cast("long").alias("page_range")).agg(F.count(F.lit(1)).alias("n_pages"), F.min("page_id").alias("first_id"), F.max("page_id").alias("last_id"))
+
+
+def replaced_table(spark, d):
+    """The a-priori table, replaced by one made from itself."""
+    path = scratch(spark, "apriori")
+    apriori_probs(spark, d).write.parquet(path)
+    wikixml.replace_table(spark.read.parquet(path).where("n_links > 0").drop("proba"), path)
+    return spark.read.parquet(path)
+
+
+def language_tables(spark, d):
+    """One table a language, read back."""
+    m = qid_mapping(spark, d)
+    folder = scratch(spark, "languages")
+    wikixml.write_by_language({x: mp.language_entities(m, x) for x in ("de", "fr", "en")}, folder)
+    parts = [spark.read.parquet(f"{folder}/{x}-entities").withColumn("lang", F.lit(x)) for x in ("de", "fr", "en")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def sparql_results(spark, d):
+    """The trusted classes as an endpoint would answer."""
+    rows = table(spark, d, "class_trust").collect()  # a small fixed table
+    found = [{k: {"value": str(v)} for k, v in (("class", r["src_class"]), ("rank", r["trust_rank"])) if v is not None} for r in rows]
+    return sparql.run_sparql(spark, "SELECT ?class ?rank WHERE { }", get=lambda url: json.dumps({"results": {"bindings": found}})).select("class", "rank")
+
+
+def tagged_json(spark, d):
+    ents = _typed(spark, d)
+    return w.as_json(w.tagged_documents(table(spark, d, "text"), table(spark, d, "page"), ents, rd.entity_redirects(*_t(spark, d, "page", "redirect"), ents)))
+
+
+def tagging_numbers(spark, d):
+    ents, numbers = _typed(spark, d), {}
+    w.tagged_documents(table(spark, d, "text"), table(spark, d, "page"), ents, rd.checked(rd.entity_redirects(*_t(spark, d, "page", "redirect"), ents)), numbers)
+    return spark.createDataFrame([(numbers["n_pages"], numbers["n_redirects"])], "n_pages long, n_redirects long")
+
+
+def tagged_page(spark, d):
+    """The article with the smallest id, tagged by itself."""
+    ents = _typed(spark, d)
+    first = table(spark, d, "text").where("page_id is not null and text is not null").agg(F.min(F.struct("page_id", F.md5("text").alias("k"), "title", "text")).alias("x")).select("x.*").collect()[0]
+    docs = w.tagged_page(first["page_id"], first["title"], first["text"], ents, rd.entity_redirects(*_t(spark, d, "page", "redirect"), ents))
+    flat = lambda c: F.array_join(F.transform(c, lambda x: F.array_join(x, " ")), "\n").alias(c)
+    return docs.select("page_id", "page_title", flat("text"), flat("tags"), flat("link_titles"))
+
+
+class RuleService:
+    """A linking service by rule: names are found by their tags, candidates by the length of a name's id."""
+
+    def parse(self, sentences: list) -> dict:
+        out: dict[str, dict] = {}
+        for snt in sentences:
+            for t in snt:
+                if (t.get("prediction") or "").startswith("B-"):
+                    out.setdefault(f"{t['word']}-{t['prediction'][2:]}", {"gt": [t.get("gt")]})
+        return out
+
+    def ned(self, parsed: dict) -> dict:
+        made = lambda k, i: [f"c{i}:{k}", {"wikidata": f"Q{len(k)}", "proba_1": 1 / (i + 1)}]
+        return {k: {} if len(k) % 4 == 1 else {"ranking": [made(k, i) for i in range(1, max(len(k) % 4, 1))]} for k in parsed}
+
+
+def linking_run(spark, d):
+    pages = table(spark, d, "tagged").drop("loaded_at").distinct().withColumn("page_title", F.col("page_id").cast("string"))
+    return li.run(pages, RuleService, {"PER", "LOC"}, 3, seed=7)
 
 
 QUERIES = {
     f.__name__.lstrip("_"): f
-    for f in (apriori_probs, ns0_articles, category_members, category_closure, category_member_rows, category_pages, typed_entities, disambiguation_pages, redirect_sources, redirect_duplicates, redirects_to_entities, qid_pages, qid_mapping, lang_entities, instance_of_closure, works_exclusion, type_sets, entity_first_nonnull, entity_coords, entity_title, entity_dates, entity_qid, entity_flags_type, entity_table, clean_text, sentences, tagged_documents, train_dev_test, ner_payload, linking_filter, linking_flatten, xml_pages)
+    for f in (apriori_probs, ns0_articles, category_members, category_closure, category_member_rows, category_pages, typed_entities, disambiguation_pages, redirect_sources, redirect_duplicates, redirects_to_entities, qid_pages, qid_mapping, lang_entities, instance_of_closure, works_exclusion, type_sets, entity_first_nonnull, entity_coords, entity_title, entity_dates, entity_qid, entity_flags_type, entity_table, clean_text, sentences, tagged_documents, train_dev_test, ner_payload, linking_filter, linking_flatten, xml_pages, insert_dump, sqlite_tables, page_ranges, replaced_table, language_tables, sparql_results, tagged_json, tagging_numbers, tagged_page, linking_run)
 }
 QUERIES |= {"class_extract_person": _extract("subject"), "class_extract_location": _extract("geographic-entity"), "class_extract_organisation": _extract("institution"), "class_extract_person_undated": _extract("person")}
+QUERIES |= {"class_extract_" + e.name.replace("-", "_"): _extract(e.name) for e in tr.EXTRACTS if e.name not in ("subject", "geographic-entity", "institution", "person", "work-of-arts")}
 QUERIES |= {step.__name__: _cleaning(step) for step in w.STEPS}
 QUERIES |= {"link_parts": _parts, "link_resolution": _resolved, "tokens_bio": _tokens}

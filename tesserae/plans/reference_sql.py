@@ -144,6 +144,7 @@ UNION ALL SELECT page_id, page_title, 'ORG' FROM part p WHERE role = 'org' AND N
     "class_extract_location": extract("geographic-entity"),
     "class_extract_organisation": extract("institution"),
     "class_extract_person_undated": extract("person"),
+    **{"class_extract_" + e.name.replace("-", "_"): extract(e.name) for e in tr.EXTRACTS if e.name not in ("subject", "geographic-entity", "institution", "person", "work-of-arts")},
     "works_exclusion": f"WITH RECURSIVE {CLASS} SELECT subj AS woa FROM inst WHERE root = 'Q838948'",
     "type_sets": f"WITH {SETS} SELECT type_ord, wikidata, src_class, row_ord, label FROM sets",
     "entity_first_nonnull": f"WITH {SETS} SELECT wikidata, {', '.join(VALUES)} FROM merged",
@@ -168,7 +169,27 @@ SELECT o.page_id, o.title AS page_title, coalesce(m.text, '') AS text, coalesce(
     "train_dev_test": f"""WITH {POOL}, r AS (SELECT *, row_number() OVER (ORDER BY md5('41:' || page_id), page_id) - 1 AS k, CAST((SELECT count(*) FROM pool) AS DOUBLE) AS n FROM pool),
 b AS (SELECT *, CAST(floor(CAST(0.6 AS DOUBLE) * n) AS BIGINT) AS x, CAST(floor(CAST(0.2 AS DOUBLE) * n) AS BIGINT) AS y, CAST(floor(CAST(0.15 AS DOUBLE) * n) AS BIGINT) AS z FROM r)
 SELECT page_id, page_title, CASE WHEN k < x THEN 'train' WHEN k < x + y THEN 'dev' ELSE 'test' END AS part FROM b WHERE k < x + y + z""",
-    "xml_pages": "SELECT DISTINCT page_id, length(title) AS title_length, length(regexp_replace(text, '\\s', '', 'g')) AS n_marks FROM (SELECT DISTINCT page_id, title, text FROM text WHERE text IS NOT NULL AND NOT regexp_matches(text, '[\\x00-\\x08\\x0b-\\x1f]')) x",
+    "xml_pages": r"SELECT page_id, title, md5(trim(regexp_replace(coalesce(text, ''), '[ \t\n]+', ' ', 'g'), ' ')) AS digest FROM (SELECT DISTINCT page_id, title, regexp_replace(text, '[\x00-\x08\x0b-\x1f\x{fffe}\x{ffff}]', ' ', 'g') AS text FROM text WHERE text IS NOT NULL) x",
+    "insert_dump": "SELECT page_id, CAST(page_namespace AS BIGINT) AS page_namespace, page_title, page_lang FROM page",
+    "sqlite_tables": "SELECT rd_from, CAST(rd_namespace AS BIGINT) AS rd_namespace, rd_title FROM redirect",
+    "page_ranges": "SELECT CAST(floor(page_id / 10000) AS BIGINT) AS page_range, count(*) AS n_pages, min(page_id) AS first_id, max(page_id) AS last_id FROM text WHERE page_id IS NOT NULL GROUP BY 1",
+    "replaced_table": f"WITH {LINKS} SELECT page_title, n_links FROM (SELECT DISTINCT page_title FROM entities WHERE page_title IS NOT NULL) e JOIN (SELECT target AS page_title, count(*) AS n_links FROM links WHERE target <> '' GROUP BY 1) n USING (page_title)",
+    "language_tables": f"WITH {MAPPING}, long AS (SELECT 'de' AS lang, de AS page_title, qid, ent_type FROM mapping UNION ALL SELECT 'fr', fr, qid, ent_type FROM mapping UNION ALL SELECT 'en', en, qid, ent_type FROM mapping) SELECT lang, page_title, ent_type FROM (SELECT *, row_number() OVER (PARTITION BY lang, page_title ORDER BY qid, ent_type) AS n FROM long WHERE page_title IS NOT NULL AND ent_type IS NOT NULL) x WHERE n = 1",
+    "sparql_results": "SELECT src_class AS class, CAST(trust_rank AS VARCHAR) AS rank FROM class_trust",
+    "tagged_json": f"""WITH {SENTENCES},
+lines AS (SELECT page_id, doc_key, sentence, list(word ORDER BY token) AS a, list(tag ORDER BY token) AS b, list(page_title ORDER BY token) AS c FROM sent GROUP BY ALL),
+made AS (SELECT page_id, doc_key, to_json(list(a ORDER BY sentence)) AS text, to_json(list(b ORDER BY sentence)) AS tags, to_json(list(c ORDER BY sentence)) AS link_titles FROM lines GROUP BY ALL),
+own AS (SELECT DISTINCT page_id, title, text FROM text WHERE page_id IN (SELECT page_id FROM page WHERE page_namespace = 0))
+SELECT o.page_id, o.title AS page_title, coalesce(CAST(m.text AS VARCHAR), '[]') AS text, coalesce(CAST(m.tags AS VARCHAR), '[]') AS tags, coalesce(CAST(m.link_titles AS VARCHAR), '[]') AS link_titles FROM own o LEFT JOIN made m ON m.page_id = o.page_id AND m.doc_key = md5(o.text)""",
+    "tagging_numbers": f"WITH {RED} SELECT (SELECT count(*) FROM (SELECT DISTINCT page_id, text FROM text WHERE page_id IN (SELECT page_id FROM page WHERE page_namespace = 0))) AS n_pages, (SELECT count(*) FROM red) AS n_redirects",
+    "tagged_page": f"""WITH {SENTENCES},
+first AS (SELECT page_id, title, md5(text) AS doc_key FROM text WHERE page_id IS NOT NULL AND text IS NOT NULL ORDER BY page_id, md5(text), title LIMIT 1),
+lines AS (SELECT page_id, doc_key, sentence, string_agg(word, ' ' ORDER BY token) AS a, string_agg(tag, ' ' ORDER BY token) AS b, string_agg(page_title, ' ' ORDER BY token) AS c FROM sent WHERE page_id = (SELECT page_id FROM first) GROUP BY ALL),
+made AS (SELECT page_id, doc_key, {JOINED.replace('l,', 'a,')} AS text, {JOINED.replace('l,', 'b,')} AS tags, {JOINED.replace('l,', 'c,')} AS link_titles FROM lines GROUP BY ALL)
+SELECT f.page_id, f.title AS page_title, coalesce(m.text, '') AS text, coalesce(m.tags, '') AS tags, coalesce(m.link_titles, '') AS link_titles FROM first f LEFT JOIN made m USING (page_id, doc_key)""",
+    "linking_run": f"""WITH {PAYLOAD}, typed AS (SELECT * FROM parsed WHERE right(entity_id, 3) IN ('PER', 'LOC')), kept AS (SELECT * FROM typed WHERE page_id IN (SELECT page_id FROM typed GROUP BY 1 HAVING count(*) >= 3))
+SELECT entity_id, '-' AS page_title, '-' AS wikidata, CAST(0 AS DOUBLE) AS proba, page_id AS on_page_id, page_title AS on_page, gt FROM kept WHERE length(entity_id) % 4 = 1
+UNION ALL SELECT entity_id, 'c' || i || ':' || entity_id, 'Q' || length(entity_id), CAST(1 AS DOUBLE) / (i + 1), page_id, page_title, gt FROM kept, (VALUES (1), (2)) v(i) WHERE length(entity_id) % 4 > 1 AND i <= length(entity_id) % 4 - 1""",
     "ner_payload": f"WITH {PAYLOAD} SELECT * FROM payload",
     "linking_filter": f"WITH {PAYLOAD}, typed AS (SELECT * FROM parsed WHERE right(entity_id, 3) IN ('PER', 'LOC')) SELECT * FROM typed WHERE page_id IN (SELECT page_id FROM typed GROUP BY 1 HAVING count(*) >= 3)",
     "linking_flatten": f"""WITH {PAYLOAD} SELECT entity_id, '-' AS page_title, '-' AS wikidata, CAST(0 AS DOUBLE) AS proba, page_id AS on_page_id, page_title AS on_page, gt FROM parsed WHERE length(entity_id) % 4 = 1

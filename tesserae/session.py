@@ -63,6 +63,13 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass  # the session is gone; the folder's owner clears it
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, removed when the driver's Python ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
 def materialize(df: DataFrame, name: str, **sums: Column) -> DataFrame:
     """Cut the lineage by a written table in the shared folder.
 
@@ -71,12 +78,11 @@ def materialize(df: DataFrame, name: str, **sums: Column) -> DataFrame:
     as the rows are written, without a job of their own: see written_sums.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     seen = Observation()
     if sums:
         df = df.observe(seen, *[F.coalesce(F.sum(c.cast("long")), F.lit(0)).alias(k) for k, c in sums.items()])
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tesserae_path = path
     out._tesserae_sums = seen.get if sums else {}

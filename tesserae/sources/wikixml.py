@@ -36,15 +36,23 @@ def write_pages(pages: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Replace a table that df may read from: written beside it first, then swapped in."""
+    """Replace a table that df may read from: written beside it first, then swapped in.
+
+    The old table is set aside before the new one takes its place, and deleted
+    last: a crash leaves one of them whole, at `path` or at `path.old`.
+    """
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm
-    new, old = jvm.org.apache.hadoop.fs.Path(path + ".new"), jvm.org.apache.hadoop.fs.Path(path)
+    new, old, aside = (jvm.org.apache.hadoop.fs.Path(path + x) for x in (".new", "", ".old"))
     df.write.mode("overwrite").parquet(path + ".new")
     fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(old, True)
+    if fs.exists(old):
+        fs.delete(aside, True)
+        if not fs.rename(old, aside):
+            raise OSError(f"{path} could not be moved to {path}.old")
     if not fs.rename(new, old):
         raise OSError(f"{path}.new could not be moved to {path}")
+    fs.delete(aside, True)
 
 
 def write_by_language(mapping: dict[str, DataFrame], folder: str) -> None:

@@ -198,3 +198,38 @@ def test_linking_run(spark):
 def test_filter_entities(spark):
     df = spark.createDataFrame([(1, "p", "a-PER", "x"), (1, "p", "b-ORG", "x"), (2, "q", "a-PER", "x"), (2, "q", "c-PER", "x")], "page_id long, page_title string, entity_id string, gt string")
     assert {(r["page_id"], r["entity_id"]) for r in li.filter_entities(df, {"PER"}, 2).collect()} == {(2, "a-PER"), (2, "c-PER")}
+
+
+def test_begin_tags_at_each_sentence_of_a_link(spark):
+    ents = spark.createDataFrame([("St._Ort", "LOC")], "page_title string, ent_type string")
+    none = spark.createDataFrame([], "rd_from_title string, rd_title string, ent_type string")
+    row = w.tagged_page(5, "T", "Der [[St. Ort|St. Ort am See]] liegt. Ende", ents, none).collect()[0]
+    assert row["text"] == [["Der", "St", "."], ["Ort", "am", "See", "liegt", "."], ["Ende"]]
+    assert row["tags"] == [["O", "B-LOC", "I-LOC"], ["B-LOC", "I-LOC", "I-LOC", "O", "O"], ["O"]]
+    assert row["link_titles"][0] == ["", "St._Ort", "St._Ort"]
+    assert w.tagged_page(5, "T", None, ents, none).collect()[0]["text"] == []
+
+
+def test_hot_titles_and_repeated_texts(spark):
+    ents = spark.createDataFrame([("Ort", "LOC")], "page_title string, ent_type string")
+    red = spark.createDataFrame([("Alt", "Ort", "LOC")], "rd_from_title string, rd_title string, ent_type string")
+    text = spark.createDataFrame([(i % 30, "t", f"[[Ort]] und [[alt|a]] [[Alt]] {i % 30}") for i in range(90)], "page_id long, title string, text string")
+    page = spark.range(30).selectExpr("id AS page_id", "0 AS page_namespace", "'x' AS page_title")
+    numbers = {}
+    got = w.tagged_documents(text, page, ents, red, numbers).collect()
+    assert len(got) == 30 and numbers == {"n_pages": 30, "n_redirects": 1}
+    assert all(r["link_titles"][0][:4] == ["Ort", "", "alt", "Ort"] and r["tags"][0][:4] == ["B-LOC", "O", "O", "B-LOC"] for r in got)
+
+
+def test_checked_redirects(spark):
+    red = spark.createDataFrame([("a", "x", "LOC"), ("b", "y", None)], "rd_from_title string, rd_title string, ent_type string")
+    assert rd.checked(red).count() == 2
+    with pytest.raises(Exception, match="several redirects"):
+        rd.checked(red.unionByName(red)).collect()
+
+
+def test_closure_over_several_rounds(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(5, 20), (41, 0), (40, 3), (None, 1), (7, None)] + [(100, 100 + i) for i in range(1, 300)]
+    got = {(r["root"], r["node"]): r["depth"] for r in closure(spark.createDataFrame(edges, "parent int, child int"), spark.createDataFrame([(0,), (100,), (999,), (None,)], "root int")).collect()}
+    want = {(0, i): i if i < 20 else i - 14 for i in range(41)} | {(100, 100): 0, (999, 999): 0} | {(100, 100 + i): 1 for i in range(1, 300)}
+    assert got == want
