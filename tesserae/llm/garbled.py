@@ -48,6 +48,10 @@ LETTERS = ("cp1251*", "koi8-r", "cp866", "cp1253*")
 LOST = "�"
 SIZES = (1 << 16, 1 << 17, 1 << 19)  # buckets for one, two and three characters
 NON_ASCII = re.compile(r"[^\x00-\x7f]+")
+DIGITS = re.compile("[0-9]+")
+EAST = re.compile("[\u2e80-\U0010ffff]")
+NO_LETTERS = bytes(b for b in range(128) if not chr(b).isalpha())
+NO_DIGITS = bytes(b for b in range(128) if not chr(b).isdigit())
 CLAUSE = re.compile(r"[.!?,;:]+[\x00-\x20]+|[\n\r]+")
 # Pieces of a word: East Asian characters apart from the rest, without lost ones.
 PIECE = re.compile(r"[⺀-鿿豈-﫿＀-￯]+|[^⺀-鿿豈-﫿＀-￯�]+")
@@ -203,16 +207,16 @@ def _hash(key: str) -> int:
 def _keys(clause: str) -> list[int]:
     """What twins share, as hashes: the stripped text, its digits masked or not, and the text with the lengths of its runs."""
     bare = NON_ASCII.sub("", clause)
-    stripped = re.sub(r"[0-9]+", "0", bare)
+    raw = bare.encode()
     out = []
-    if sum(c.isalpha() for c in stripped) >= 6:
-        out.append("s" + stripped)
-    if sum(c.isdigit() for c in bare) >= 6:
+    if len(raw.translate(None, NO_LETTERS)) >= 6:
+        out.append("s" + DIGITS.sub("0", bare))
+    if len(raw.translate(None, NO_DIGITS)) >= 6:
         out.append("d" + bare)
     runs = NON_ASCII.findall(clause)
     if sum(map(len, runs)) >= 8:
-        masked = re.sub(r"[0-9]+", "0", clause)
-        sizes = [len, lambda r: len(r.encode("utf-8", "replace")), lambda r: len(r) + sum(c > "\u2e7f" for c in r)]
+        masked = DIGITS.sub("0", clause)
+        sizes = [len, lambda r: len(r.encode("utf-8", "replace")), lambda r: len(r) + len(EAST.findall(r))]
         out += dict.fromkeys("l" + NON_ASCII.sub(lambda m: f"\x01{size(m[0])}\x02", masked) for size in sizes)
     return [_hash(k) for k in out]
 
@@ -263,7 +267,7 @@ def _aligned(clean: str, odd: str) -> list[tuple[str, str]]:
             shift += len(m[0])
         return out
 
-    a, b = places(re.sub(r"[0-9]+", "0", clean)), places(re.sub(r"[0-9]+", "0", odd))
+    a, b = places(DIGITS.sub("0", clean)), places(DIGITS.sub("0", odd))
     return [(run, b[at]) for at, run in a.items() if at in b and b[at] != run and LOST not in run and (LOST not in b[at] or sum(c != LOST for c in b[at]) >= 8)]
 
 
@@ -274,19 +278,24 @@ class _Fits:
         self.chains = _learnable()
         self.narrow = [i for i, (_, r) in enumerate(self.chains) if r not in MANY]
         self.wide = [i for i, (_, r) in enumerate(self.chains) if r in MANY]
-        self.firsts: dict[tuple[str, str], list[int]] = {}
+        self.firsts: dict[str, dict[str, list[int]]] = {}
         self.known: dict[tuple[str, str], tuple[int, ...]] = {}
 
+    def _shown(self, char: str) -> dict[str, list[int]]:
+        """The mappings that show a character by each first character."""
+        if char not in self.firsts:
+            own = self.firsts[char] = {}
+            for i in self.narrow:
+                if m := misread(char, *self.chains[i]):
+                    own.setdefault(m[0], []).append(i)
+        return self.firsts[char]
+
     def __call__(self, clean: str, odd: str) -> tuple[int, ...]:
         got = self.known.get((clean, odd))
         if got is None:
-            head = (clean[0], odd[0])
-            if odd[0] == LOST:
-                self.firsts[head] = self.narrow
-            if head not in self.firsts:
-                # one-byte encodings show a character's bytes one by one, so the first must agree
-                self.firsts[head] = [i for i in self.narrow if (m := misread(head[0], *self.chains[i])) and m[0] == head[1]]
-            maybe = self.firsts[head] + (self.wide if any(c > "\u2e7f" for c in odd) else [])
+            # one-byte encodings show a character's bytes one by one, so the first must agree
+            narrow = self.narrow if odd[0] == LOST else self._shown(clean[0]).get(odd[0], [])
+            maybe = narrow + (self.wide if any(c > "\u2e7f" for c in odd) else [])
             got = tuple(i for i in maybe if (made := misread(clean, *self.chains[i])) == odd or LOST in odd and made and len(made) == len(odd) and all(b in (a, LOST) for a, b in zip(made, odd)))
             if len(self.known) > 50_000:
                 self.known.clear()

@@ -61,6 +61,8 @@ HTML_ITEM = re.compile(r"<li\b[^>]*>", re.I)
 TEX_HEADING = re.compile(r"(?<![\w\\:])\\(?:part|chapter|(?:sub){0,2}section|(?:sub)?paragraph)\*?(?:\[[^\]]*\])?\{(?P<t>(?:[^{}]|\{[^{}]*\})*)\}")
 TEX_ITEM = re.compile(r"(?<![\w\\:])\\item(?![a-zA-Z])(?:\[[^\]]*\])?")
 EMPHASIS = re.compile(r"^(?P<m>\*{1,3})(?=[^\s*])[^*\n]*?(?<=[^\s*(])(?P=m)(?!\*)")
+GOES_ON, NUMBER, THAI = re.compile(r"[\p{Ll}\d=]"), re.compile(r"\d+\b"), re.compile(r"\p{Thai}")
+INDENTED = re.compile(r"(?: {4}|\t)\s*\S")
 SENTENCE_END = re.compile(r"[.!?…。！？।؟;:][\"'”’“»)\]』」]*\s*$")
 
 ANY = re.compile(
@@ -76,12 +78,14 @@ ANY = re.compile(
 
 
 # What is shielded only where it is closed: openings behind the last closing would each be sought to the text's end.
-CLOSED = [(re.compile(o, re.I), re.compile(c, re.I)) for o, c in (("<(?=code\\b)", "(?r)</code"), ("<(?=(?:tt|kbd|samp)\\b)", "(?r)</(?:tt|kbd|samp)"), (r"\\(?=\[)", r"(?r)\\\]"), (r"\\(?=\()", r"(?r)\\\)"))]
+CLOSED = [(sign, re.compile(o, re.I), re.compile(c, re.I)) for sign, o, c in (("<", "<(?=code\\b)", "(?r)</code"), ("<", "<(?=(?:tt|kbd|samp)\\b)", "(?r)</(?:tt|kbd|samp)"), ("\\[", r"\\(?=\[)", r"(?r)\\\]"), ("\\(", r"\\(?=\()", r"(?r)\\\)"))]
 
 
 def _open_ends(text: str) -> str:
     """Openings that nothing closes, set apart from what they open."""
-    for opening, closing in CLOSED:
+    for sign, opening, closing in CLOSED:
+        if sign not in text:
+            continue
         last = closing.search(text)
         at = last.end() if last else 0
         text = text[:at] + opening.sub(lambda m: m[0] + APART, text[at:])
@@ -95,15 +99,15 @@ def _item(line: str, before: str, numbers: dict[int, int]) -> str | None:
     closed = not tail or tail[-1] in ">}]" + END or SENTENCE_END.search(tail) or WIKI_HEADING.match(before) or ATX.match(before)
     goes_on = not closed and not WIKI_ITEM.match(before) and not MARKDOWN_ITEM.match(before)
     if (m := WIKI_ITEM.match(line)) and not EMPHASIS.match(line) and not RULE.match(line):
-        if goes_on and re.match(r"[\p{Ll}\d=]", m["t"]):
+        if goes_on and GOES_ON.match(m["t"]):
             return None
-        if m["m"].strip("#") == "" and re.match(r"\d+\b", m["t"]) and not m["s"]:  # a number sign
+        if m["m"].strip("#") == "" and NUMBER.match(m["t"]) and not m["s"]:  # a number sign
             return None
         if "#" in m["m"] and m["m"].strip("#") == "" and m["s"] and _titled(line):
             return None
         return m["t"]
     if m := MARKDOWN_ITEM.match(line):
-        if RULE.match(line) or goes_on and re.match(r"[\p{Ll}\d=]", m["t"]):
+        if RULE.match(line) or goes_on and GOES_ON.match(m["t"]):
             return None
         depth = len(m["i"].expandtabs(4)) // 2
         if m["n"]:
@@ -123,7 +127,7 @@ def _titled(line: str) -> bool:
     if m["close"]:
         return True
     t = m["t"]
-    return len(t) <= 48 and not SENTENCE_END.search(t) and not (re.search(r"\p{Thai}", t) and len(t) > 26)
+    return len(t) <= 48 and not SENTENCE_END.search(t) and not (len(t) > 26 and THAI.search(t))
 
 
 def parse(text: str) -> tuple[list[tuple[str, str]], bool, str, list[str]]:
@@ -156,7 +160,6 @@ def parse(text: str) -> tuple[list[tuple[str, str]], bool, str, list[str]]:
     lines = masked.split("\n")
     numbers: dict[int, int] = {}
     block: list[str] | None = None
-    indented = re.compile(r"(?: {4}|\t)\s*\S")
 
     def close() -> None:
         nonlocal block
@@ -170,10 +173,10 @@ def parse(text: str) -> tuple[list[tuple[str, str]], bool, str, list[str]]:
     for i, line in enumerate(lines):
         before = lines[i - 1] if i else ""
         bare = line.strip()
-        if indented.match(line) and (not before.strip() or block is not None):
+        if INDENTED.match(line) and (not before.strip() or block is not None):
             block = [*(block or []), line]
             continue
-        if block is not None and not bare and i + 1 < len(lines) and indented.match(lines[i + 1]):
+        if block is not None and not bare and i + 1 < len(lines) and INDENTED.match(lines[i + 1]):
             continue
         close()
         kind, inner, before_line = None, line, len(found)
@@ -193,14 +196,17 @@ def parse(text: str) -> tuple[list[tuple[str, str]], bool, str, list[str]]:
         if kind:
             found.append((kind, inner))
         # elements within the line, in the order of their places
-        inline = [(m.start(), "heading", m["t"]) for r in (HTML_HEADING, TEX_HEADING) for m in r.finditer(line)]
-        inline += [(m.start(), "list_item", line[m.end() :]) for r in (HTML_ITEM, TEX_ITEM) for m in r.finditer(line)]
-        inline += [(m.start(), {CODE: "code_block", MATH: "formula"}.get(m[1], ""), held[int(m[2])]) for m in HELD.finditer(line)]
-        found += [(k, t) for _, k, t in sorted(inline) if k]
-        for r in (HTML_HEADING, TEX_HEADING):
-            inner = r.sub(lambda m: f"\n# {m['t']}\n", inner)
-        for r in (HTML_ITEM, TEX_ITEM):
-            inner = r.sub("\n- ", inner)
+        headings = (HTML_HEADING,) * ("<" in line) + (TEX_HEADING,) * ("\\" in line)
+        items = (HTML_ITEM,) * ("<" in line) + (TEX_ITEM,) * ("\\" in line)
+        if headings or END in line:
+            inline = [(m.start(), "heading", m["t"]) for r in headings for m in r.finditer(line)]
+            inline += [(m.start(), "list_item", line[m.end() :]) for r in items for m in r.finditer(line)]
+            inline += [(m.start(), {CODE: "code_block", MATH: "formula"}.get(m[1], ""), held[int(m[2])]) for m in HELD.finditer(line)]
+            found += [(k, t) for _, k, t in sorted(inline) if k]
+            for r in headings:
+                inner = r.sub(lambda m: f"\n# {m['t']}\n", inner)
+            for r in items:
+                inner = r.sub("\n- ", inner)
         marks = "".join(f"{ELEMENT}{k}{END}" for k in range(before_line, len(found)))
         out.append(marks + {"heading": "# ", "list_item": "- "}.get(kind, "") + inner)
     close()
@@ -212,36 +218,55 @@ def _marks(m: re.Match) -> str:
     return "".join(x[0] for x in MARKED.finditer(m[0]))
 
 
+# Patterns of the markup that strip takes off, each with what takes its place and a sign without which it cannot match.
+_NAMES = "Datei|Bild|Fichier|File|Image|Archivo|Файл|Αρχείο|Kategorie|Category|Catégorie|Categoría|Категория"
+NESTED = re.compile(r"\{\{[^{}]*\}\}|\{\|(?:(?!\{\|).)*?^[ \t]*\|\}", re.S | re.M)
+COMMAND = re.compile(r"(?<![\w\\:])\\[a-zA-Z]+\*?(?:\[[^\]]*\])?\{([^{}]*)\}|\{\\[a-z]+\s+([^{}]*)\}")
+TAKEN = [
+    (sign, re.compile(pattern, flags), to)
+    for sign, pattern, to, flags in (
+        ("[[", rf"\[\[(?:{_NAMES}):[^\[\]]*(?:\[\[[^\[\]]*\]\][^\[\]]*)*\]\]", _marks, re.I),
+        ("<", r"<ref\b[^>]*/>|<ref\b[^>]*>.*?</ref\s*>|<gallery\b[^>]*>.*?</gallery\s*>", _marks, re.S | re.I),
+        ("[[", r"\[\[(?:[^|\[\]]*\|)?([^|\[\]]*)\]\]", r"\1", 0),
+        ("//", r"\[(?:https?:)?//[^\s\]]+[ \t]*([^\]\n]*)\]", r"\1", 0),
+        ("](", r"!\[[^\[\]\n]*\]\([^)\s]*\)", "", 0),
+        ("](", r"\[([^\[\]\n]*)\]\([^()\s]*(?:\([^()\s]*\))?[^()\s]*\)", r"\1", 0),
+        ("<", r"<br\s*/?>", " ", re.I),
+        ("<", rf"</?(?:{TAGS})(?:\s[^<>]*|/)?\s*/?>", "", re.I),
+        ("''", r"'{2,5}", "", 0),
+        ("__", r"__[A-Z]{3,}__", "", 0),
+        ("*", r"(?<![\w*\\])(\*{1,3})(?=[^\s*])([^*\n]*?)(?<=[^\s*(])\1(?![\w*])", r"\2", 0),
+        ("~~", r"~~([^\s~][^~\n]*)~~", r"\1", 0),
+        ("\\begin", r"\\begin\{tabular\}.*?\\end\{tabular\}", _marks, re.S),
+        ("\\", r"\\(?:includegraphics|label|ref|cite|pageref|documentclass|usepackage|begin|end|newpage|clearpage|vspace|hspace)(?![a-zA-Z])\*?(?:\[[^\]]*\])*(?:\{[^{}]*\})*", "", 0),
+        ("\\href", r"\\href\{[^{}]*\}\{([^{}]*)\}", r"\1", 0),
+    )
+]
+LINES = re.compile(r"^[ ]{0,3}>[ \t]?|^[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*\|.*$|^[ ]{0,3}(?:(?:[*][ \t]*){3,}|(?:-[ \t]*){3,}|(?:_[ \t]*){3,})$|^:+(?=\s*\ue002)", re.M)
+ESCAPED = re.compile(r"\\\\[ \t]*$|\\([%&_#$])", re.M)
+SPACES, LINE_ENDS = re.compile(r"[ \t\u00a0]+"), re.compile(r"^ | $", re.M)
+
+
 def strip(t: str) -> str:
     """A text in the form that parse gives, without markup of words and without tables and templates, whose marks stay."""
     for _ in range(8):
-        new = re.sub(r"\{\{[^{}]*\}\}|\{\|(?:(?!\{\|).)*?^[ \t]*\|\}", _marks, t, flags=re.S | re.M)
+        new = NESTED.sub(_marks, t) if "{{" in t or "{|" in t else t
         if new == t:
             break
         t = new
-    t = re.sub(r"\[\[(?:Datei|Bild|Fichier|File|Image|Archivo|Файл|Αρχείο|Kategorie|Category|Catégorie|Categoría|Категория):[^\[\]]*(?:\[\[[^\[\]]*\]\][^\[\]]*)*\]\]", _marks, t, flags=re.I)
-    t = re.sub(r"<ref\b[^>]*/>|<ref\b[^>]*>.*?</ref\s*>|<gallery\b[^>]*>.*?</gallery\s*>", _marks, t, flags=re.S | re.I)
-    t = re.sub(r"\[\[(?:[^|\[\]]*\|)?([^|\[\]]*)\]\]", r"\1", t)
-    t = re.sub(r"\[(?:https?:)?//[^\s\]]+[ \t]*([^\]\n]*)\]", r"\1", t)
-    t = re.sub(r"!\[[^\[\]\n]*\]\([^)\s]*\)", "", t)
-    t = re.sub(r"\[([^\[\]\n]*)\]\([^()\s]*(?:\([^()\s]*\))?[^()\s]*\)", r"\1", t)
-    t = re.sub(r"<br\s*/?>", " ", t, flags=re.I)
-    t = re.sub(rf"</?(?:{TAGS})(?:\s[^<>]*|/)?\s*/?>", "", t, flags=re.I)
-    t = re.sub(r"'{2,5}|__[A-Z]{3,}__", "", t)
-    t = re.sub(r"(?<![\w*\\])(\*{1,3})(?=[^\s*])([^*\n]*?)(?<=[^\s*(])\1(?![\w*])", r"\2", t)
-    t = re.sub(r"~~([^\s~][^~\n]*)~~", r"\1", t)
-    t = re.sub(r"\\begin\{tabular\}.*?\\end\{tabular\}", _marks, t, flags=re.S)
-    t = re.sub(r"\\(?:includegraphics|label|ref|cite|pageref|documentclass|usepackage|begin|end|newpage|clearpage|vspace|hspace)(?![a-zA-Z])\*?(?:\[[^\]]*\])*(?:\{[^{}]*\})*", "", t)
-    t = re.sub(r"\\href\{[^{}]*\}\{([^{}]*)\}", r"\1", t)
+    for sign, pattern, to in TAKEN:
+        if sign in t:
+            t = pattern.sub(to, t)
     for _ in range(4):
-        new = re.sub(r"(?<![\w\\:])\\[a-zA-Z]+\*?(?:\[[^\]]*\])?\{([^{}]*)\}|\{\\[a-z]+\s+([^{}]*)\}", lambda m: m[1] or m[2] or "", t)
+        new = COMMAND.sub(lambda m: m[1] or m[2] or "", t) if "\\" in t else t
         if new == t:
             break
         t = new
-    t = re.sub(r"^[ ]{0,3}>[ \t]?|^[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*\|.*$|^[ ]{0,3}(?:(?:[*][ \t]*){3,}|(?:-[ \t]*){3,}|(?:_[ \t]*){3,})$|^:+(?=\s*\ue002)", "", t, flags=re.M)
-    t = re.sub(r"\\\\[ \t]*$|\\([%&_#$])", r"\1", t, flags=re.M)
-    t = re.sub(r"[ \t\u00a0]+", " ", html.unescape(t))
-    return re.sub(r"^ | $", "", t, flags=re.M)
+    t = LINES.sub("", t)
+    if "\\" in t:
+        t = ESCAPED.sub(r"\1", t)
+    t = SPACES.sub(" ", html.unescape(t) if "&" in t else t)
+    return LINE_ENDS.sub("", t)
 
 
 def _shown(mark: str, raw: str) -> str:
@@ -304,16 +329,21 @@ def blocks(lines: list[str], anchors: list[bool], window: int = 3) -> list[bool]
     return keep if any(keep) else [True] * len(lines)
 
 
-def clean(text: str, window: int = 3) -> tuple[list[tuple[str, str]], bool, str]:
-    """Elements, whether there is any markup, and the clean text, all of the lines that the distribution keeps."""
+def kept(text: str, window: int = 3) -> tuple[list[tuple[str, str]], bool, list[str], list[str]]:
+    """Elements and lines that the distribution keeps, whether there is any markup, and what the lines show literally."""
     found, marked, shown, held = parse(text)
     lines = strip(shown).split("\n")
-    elements = [[int(m[1]) for m in MARKED.finditer(x)] for x in lines]
-    lines = [MARKED.sub("", x) for x in lines]
-    keep = blocks([HELD.sub("", x) for x in lines], [bool(e) or x.startswith(("# ", "- ")) or bool(HELD.search(x)) for e, x in zip(elements, lines)], window)
-    body = "\n".join(x for x, k in zip(lines, keep) if k or not x)
-    body = HELD.sub(lambda m: _shown(m[1], held[int(m[2])]), body)
-    return [found[i] for e, k in zip(elements, keep) if k for i in e], marked, re.sub(r"\n{3,}", "\n\n", body).strip()
+    elements = [[int(m[1]) for m in MARKED.finditer(x)] if ELEMENT in x else [] for x in lines]
+    lines = [MARKED.sub("", x) if e else x for x, e in zip(lines, elements)]
+    keep = blocks([HELD.sub("", x) if END in x else x for x in lines], [bool(e) or x.startswith(("# ", "- ")) or END in x for e, x in zip(elements, lines)], window)
+    return [found[i] for e, k in zip(elements, keep) if k for i in e], marked, [x for x, k in zip(lines, keep) if k or not x], held
+
+
+def clean(text: str, window: int = 3) -> tuple[list[tuple[str, str]], bool, str]:
+    """What is kept, with the lines as one clean text."""
+    found, marked, lines, held = kept(text, window)
+    body = HELD.sub(lambda m: _shown(m[1], held[int(m[2])]), "\n".join(lines))
+    return found, marked, re.sub(r"\n{3,}", "\n\n", body).strip()
 
 
 ELEMENTS = "page_id long, unit_kind string, unit_seq long"
@@ -324,7 +354,7 @@ def _elements(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for part in parts:
         rows = []
         for page, text in zip(part["page_id"], part["text"]):
-            found, marked, _ = clean(text)
+            found, marked, _, _ = kept(text)
             if marked:
                 rows.append((page, "any", 0))
             count = dict.fromkeys(KINDS, 0)

@@ -60,8 +60,8 @@ def test_tables(spark):
 
 
 def test_elements_come_from_the_distribution(monkeypatch):
-    seen, clean = [], m.clean
-    monkeypatch.setattr(m, "clean", lambda text: seen.append(text) or clean(text))
+    seen, kept = [], m.kept
+    monkeypatch.setattr(m, "kept", lambda text: seen.append(text) or kept(text))
     texts = [t for t, _ in CASES] + PLAIN
     rows = next(m._elements(iter([pd.DataFrame({"page_id": range(len(texts)), "text": texts})])))
     assert seen == texts
