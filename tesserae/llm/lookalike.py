@@ -298,7 +298,9 @@ def alike_pairs(entities: DataFrame, share: int = 20_000) -> DataFrame:
     a, b = (writings.select(*keys, F.col("writing").alias(f"of_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
     pairs = a.join(b, keys).where("of_a <> of_b and (n_a > n_b or n_a = n_b and of_a < of_b)")
     pairs = materialize(pairs.select("of_a", "of_b", F.ceil(F.col("n_a") / share).cast("int").alias("salts")), "alike")
-    total = written_sums(made)["n"]
+    taking = pairs.select(F.explode(F.array("of_a", "of_b")).alias("writing")).distinct()
+    rows = materialize(skew_lookup(rows, taking, ["writing"], "inner", rows=written_sums(made)["n"]), "taking", n=F.lit(1))
+    total = written_sums(rows)["n"]
 
     def side(own: str, other: str) -> DataFrame:
         partners = pairs.groupBy(F.col(own).alias("writing")).agg(F.collect_list(F.struct(other, "salts")).alias("partners"))
