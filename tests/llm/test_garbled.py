@@ -160,3 +160,21 @@ def test_twins_by_digits_and_byte_lengths():
     text = "北京市有许多古老的建筑"
     assert set(m._keys(text)) & set(m._keys(m.misread(text, "gb18030", "latin-1")))
     assert m._aligned("x年", "x\ufffd") == []
+
+
+def test_words_met_are_kept_within_a_slice():
+    import pandas as pd
+
+    text = LOSSES["gb18030"]
+    odd = text.encode().decode("gb18030", "replace")
+    counts = pd.concat(p.to_pandas() for p in m._scan(iter([pa.RecordBatch.from_pydict({"text": [text[i % 7 :] for i in range(300)]})]))).dropna(subset=["slot"]).astype({"slot": int})
+    model = m.Model(counts["slot"].to_numpy(), counts["n"].to_numpy())
+    rows = pd.DataFrame([(1, odd), (2, "Livres c\u00e9l\u00e8bres"), (3, odd), (4, "Die Fl\u00e4che \ufffd")], columns=["doc_id", "text"])
+    fresh, full = (m.Undo(model, {("utf-8", "gb18030")}) for _ in range(2))
+    want = pd.concat(fresh(iter([rows])))
+    assert want["doc_id"].tolist() == [1, 3, 4] and "gb18030" in want["chain"].iloc[0]
+    full.known = dict.fromkeys(map(str, range(100_000)))  # this slice's words go past the bound
+    pd.testing.assert_frame_equal(pd.concat(full(iter([rows]))), want)
+    assert len(full.known) > 100_000
+    pd.testing.assert_frame_equal(pd.concat(full(iter([rows]))), want)
+    assert len(full.known) < 1000  # and the next slice forgets
